@@ -1,0 +1,38 @@
+"""Whole-pipeline composition: raw -> staging -> marts, as lazy DataFrames.
+
+Nothing runs until a sink or an action; dependencies are function calls, not
+file-name order.  ``register`` exposes every relation as a temp view so SQL
+metrics and checks can name them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tillroll.operators.marts import build_marts
+from tillroll.operators.staging import stage
+from tillroll.sources import tpch
+
+# fixed values: the twelve relations of the warehouse, in layer order
+RELATIONS = (
+    "customers", "products", "orders", "order_items",
+    "stg_customers", "stg_products", "stg_orders", "stg_order_items",
+    "dim_customers", "dim_products", "fct_orders", "fct_order_items",
+)
+
+
+def build(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """All twelve relations from the four raw tables."""
+    staged = stage(raw)
+    return {**raw, **staged, **build_marts(staged)}
+
+
+def register(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    return tables
+
+
+def warehouse_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The warehouse over the supplied Parquet tables (adapter + build)."""
+    return build(tpch.raw_tables(spark, sf_dir))
