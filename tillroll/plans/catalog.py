@@ -58,3 +58,93 @@ def _metric(name: str) -> Query:
 
 for _name in sorted(M.METRICS):
     query(_metric(_name))
+
+
+# --- explore: filtered series, top categories, KPI windows, cohorts ----------------------
+
+from tillroll.operators import explore as X  # noqa: E402
+
+# A dashboard selection exercising every filter branch (dates, country IN, category EXISTS)
+SAMPLE_FILTERS = X.Filters(start="2000-12-31", end="1996-01-01",
+                           countries=("NATION_1", "NATION_7", "NATION_13", "NATION_21"),
+                           categories=("PROMO", "SMALL"))
+AS_OF = "2001-08-15"
+
+
+@query
+def daily_series(spark, sf_dir):
+    return X.daily_series(_wh(spark, sf_dir))
+
+
+@query
+def daily_series_filtered(spark, sf_dir):
+    return X.daily_series(_wh(spark, sf_dir), SAMPLE_FILTERS)
+
+
+@query
+def net_series(spark, sf_dir):
+    return X.net_series(_wh(spark, sf_dir))
+
+
+@query
+def net_series_filtered(spark, sf_dir):
+    return X.net_series(_wh(spark, sf_dir), SAMPLE_FILTERS)
+
+
+@query
+def top_categories(spark, sf_dir):
+    return X.top_categories(_wh(spark, sf_dir))
+
+
+@query
+def top_categories_filtered(spark, sf_dir):
+    return X.top_categories(_wh(spark, sf_dir), X.Filters(start="1996-01-01", end="2000-12-31",
+                                                          countries=SAMPLE_FILTERS.countries,
+                                                          categories=("PROMO", "SMALL", "LARGE")))
+
+
+@query
+def kpi_windows(spark, sf_dir):
+    return X.kpi_windows(X.daily_series(_wh(spark, sf_dir)))
+
+
+@query
+def net_gmv_30d(spark, sf_dir):
+    return X.net_gmv_window(X.net_series(_wh(spark, sf_dir)), 30)
+
+
+@query
+def daily_ma7(spark, sf_dir):
+    return X.with_moving_average(X.daily_series(_wh(spark, sf_dir)))
+
+
+@query
+def cohort_matrix(spark, sf_dir):
+    return X.cohort_matrix(M.m_retention_cohort(_wh(spark, sf_dir)["fct_orders"], rate_digits=None))
+
+
+@query
+def filter_bounds(spark, sf_dir):
+    return X.filter_bounds(_wh(spark, sf_dir)["fct_orders"], AS_OF)
+
+
+@query
+def filter_options(spark, sf_dir):
+    return X.filter_options(_wh(spark, sf_dir))
+
+
+@query
+def metrics_eval_window(spark, sf_dir):
+    return M.apply_eval_days(M.m_gmv_daily(_wh(spark, sf_dir)["fct_orders"]), 90, "2001-08-01")
+
+
+# fixed values: the metric list of the example configuration
+CONFIG_METRICS = ("m_gmv_daily", "m_orders_daily", "m_aov_daily", "m_active_customers_daily",
+                  "m_retention_cohort", "m_net_gmv_daily")
+
+
+@query
+def metrics_manifest(spark, sf_dir):
+    results = M.run_metrics(_wh(spark, sf_dir)["fct_orders"], enabled=CONFIG_METRICS,
+                            eval_days=90, as_of="2001-08-01")
+    return M.manifest(results)
