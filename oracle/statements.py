@@ -208,3 +208,51 @@ UNION ALL SELECT 'm_active_customers_daily', COUNT(*) FROM (
 UNION ALL SELECT 'm_retention_cohort', COUNT(*) FROM retention WHERE cohort_month >= DATE '2001-08-01' - 90
 UNION ALL SELECT 'm_net_gmv_daily', COUNT(*) FROM (
   SELECT DISTINCT order_date FROM fct_orders) d WHERE order_date >= DATE '2001-08-01' - 90""", RETENTION_CTES)
+
+# --- quality and contract -------------------------------------------------------------------
+
+from oracle import quality as _q  # noqa: E402
+from tillroll.operators import contract as _C  # noqa: E402
+from tillroll.operators import quality as _Q  # noqa: E402
+from tillroll.plans.catalog import AS_OF as _AS_OF  # noqa: E402
+from tillroll.plans.catalog import RI_RULES as _RI  # noqa: E402
+
+_cfg = _Q.EXAMPLE_CONFIG
+_B = {f: _Q.FAMILY_ORDER.index(f) * 100_000 for f in _Q.FAMILY_ORDER}
+_fresh = _q.freshness(_cfg["freshness"], _AS_OF, _B["freshness"])
+_nulls = _q.null_rate(_cfg["null_rate_thresholds"], _B["null_rate"])
+_ranges = _q.ranges(_cfg["ranges"], _B["numeric_ranges"])
+_pks = _q.pk(_cfg["pk_uniqueness"], _B["pk_uniqueness"])
+_ris = _q.ri(list(_RI), _B["referential_integrity"])
+_schema = _q.schema(list(_Q.REQUIRED_RELATIONS), _B["schema_existence"])
+_all = _fresh + _nulls + _ranges + _pks + _ris + _schema
+
+ORACLE["dq_null_rate"] = _q.checks(_nulls)
+ORACLE["dq_pk_uniqueness"] = _q.checks(_pks)
+ORACLE["dq_numeric_range"] = _q.checks(_ranges)
+ORACLE["dq_freshness"] = _q.checks(_fresh)
+ORACLE["dq_referential_integrity"] = _q.checks(_ris)
+ORACLE["dq_schema_existence"] = _q.checks(_schema)
+ORACLE["dq_report"] = _q.checks(_all)
+ORACLE["dq_summary"] = with_warehouse(f"""
+SELECT status, CAST(SUM(c) AS BIGINT) AS count FROM (
+  SELECT status, 1 AS c FROM ({_q.union(_all)}) u
+  UNION ALL SELECT 'pass', 0 UNION ALL SELECT 'warn', 0 UNION ALL SELECT 'fail', 0
+) s GROUP BY status""")
+ORACLE["dq_failed"] = with_warehouse(f"""
+SELECT check_type AS check_name,
+       CASE WHEN instr(target, '.') > 0 THEN substr(target, instr(target, '.') + 1) ELSE '' END AS "column",
+       status, message
+FROM ({_q.union(_all)}) u WHERE lower(status) = 'fail' ORDER BY _o LIMIT 20""")
+
+
+def _contract_values() -> str:
+    rows = []
+    for rel, spec in _C.SCHEMA_V1["relations"].items():
+        rows.append(f"('contract_relation_exists', '{rel}', 'pass', 'Relation exists')")
+        rows += [f"('contract_column_exists', '{rel}.{c}', 'pass', 'Column exists')" for c in spec["columns"]]
+    return ",\n".join(rows)
+
+
+ORACLE["contract_validation"] = (
+    "SELECT * FROM (VALUES\n" + _contract_values() + "\n) v(check_type, target, status, message)")

@@ -148,3 +148,77 @@ def metrics_manifest(spark, sf_dir):
     results = M.run_metrics(_wh(spark, sf_dir)["fct_orders"], enabled=CONFIG_METRICS,
                             eval_days=90, as_of="2001-08-01")
     return M.manifest(results)
+
+
+# --- quality and contract ------------------------------------------------------------------
+
+from pyspark.sql import functions as _F  # noqa: E402
+
+from tillroll.operators import contract as C  # noqa: E402
+from tillroll.operators import quality as Q  # noqa: E402
+
+# the default integrity rules plus the reverse rule "every order has item lines"
+RI_RULES = (*Q.REFERENTIAL_INTEGRITY_RULES,
+            {"name": "orders.order_id -> order_items.order_id", "left_table": "orders",
+             "left_column": "order_id", "right_table": "order_items", "right_column": "order_id"})
+QUALITY_CONFIG = {**Q.EXAMPLE_CONFIG, "referential_integrity": list(RI_RULES)}
+
+
+def _render(checks):
+    """Sample keys rendered as list text, so the result compares as flat columns."""
+    return checks.withColumn("sample_rows", _F.concat(_F.lit("["), _F.array_join("sample_rows", ", "),
+                                                      _F.lit("]")))
+
+
+@query
+def dq_null_rate(spark, sf_dir):
+    return _render(Q.check_null_rate(_wh(spark, sf_dir), Q.EXAMPLE_CONFIG["null_rate_thresholds"]))
+
+
+@query
+def dq_pk_uniqueness(spark, sf_dir):
+    return _render(Q.check_pk_uniqueness(_wh(spark, sf_dir), Q.EXAMPLE_CONFIG["pk_uniqueness"]))
+
+
+@query
+def dq_numeric_range(spark, sf_dir):
+    return _render(Q.check_numeric_ranges(_wh(spark, sf_dir), Q.EXAMPLE_CONFIG["ranges"]))
+
+
+@query
+def dq_freshness(spark, sf_dir):
+    return _render(Q.check_freshness(_wh(spark, sf_dir), Q.EXAMPLE_CONFIG["freshness"], AS_OF))
+
+
+@query
+def dq_referential_integrity(spark, sf_dir):
+    return _render(Q.check_referential_integrity(_wh(spark, sf_dir), RI_RULES))
+
+
+@query
+def dq_schema_existence(spark, sf_dir):
+    return _render(Q.check_schema_existence(_wh(spark, sf_dir)))
+
+
+def _report(spark, sf_dir):
+    return Q.run_quality(_wh(spark, sf_dir), QUALITY_CONFIG, AS_OF)
+
+
+@query
+def dq_report(spark, sf_dir):
+    return _render(_report(spark, sf_dir))
+
+
+@query
+def dq_summary(spark, sf_dir):
+    return Q.summarize(_report(spark, sf_dir))
+
+
+@query
+def dq_failed(spark, sf_dir):
+    return Q.failed(_report(spark, sf_dir))
+
+
+@query
+def contract_validation(spark, sf_dir):
+    return C.validate_contract(_wh(spark, sf_dir), C.SCHEMA_V1)
