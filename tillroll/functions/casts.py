@@ -32,6 +32,6 @@ def try_number(col: Column | str) -> Column:
 
 
 def try_timestamp(col: Column | str) -> Column:
-    """Coerce to TIMESTAMP; unparsable becomes NULL."""
+    """Coerce to a zone-less TIMESTAMP_NTZ; unparsable becomes NULL."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast("timestamp")
+    return c.try_cast("timestamp_ntz")

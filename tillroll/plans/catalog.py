@@ -222,3 +222,38 @@ def dq_failed(spark, sf_dir):
 @query
 def contract_validation(spark, sf_dir):
     return C.validate_contract(_wh(spark, sf_dir), C.SCHEMA_V1)
+
+
+# --- open retail ingest ----------------------------------------------------------------------
+
+from tillroll.operators import ingest as I  # noqa: E402
+from tillroll.sources import tpch as _tpch  # noqa: E402
+
+CLEAN_COLUMNS = ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
+                 "CustomerID", "Country", "customer_id", "order_date", "order_key")
+
+
+@query
+def retail_clean_lines(spark, sf_dir):
+    return I.clean_lines(_tpch.retail_lines(spark, sf_dir)).select(*CLEAN_COLUMNS)
+
+
+@query
+def retail_order_ids(spark, sf_dir):
+    return I.dense_ids(I.clean_lines(_tpch.retail_lines(spark, sf_dir)), "order_key", "order_id")
+
+
+@query
+def retail_product_ids(spark, sf_dir):
+    return I.dense_ids(I.clean_lines(_tpch.retail_lines(spark, sf_dir)), "StockCode", "product_id")
+
+
+def _retail(name):
+    def q(spark, sf_dir):
+        return I.ingest_retail(_tpch.retail_lines(spark, sf_dir))[name]
+    q.__name__ = "retail_" + name
+    return q
+
+
+for _name in ("order_items", "orders", "customers", "products"):
+    query(_retail(_name))
