@@ -36,3 +36,46 @@ def register(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def warehouse_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The warehouse over the supplied Parquet tables (adapter + build)."""
     return build(tpch.raw_tables(spark, sf_dir))
+
+
+MARTS = ("dim_customers", "dim_products", "fct_order_items", "fct_orders")
+
+
+def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config: dict | None = None,
+            as_of=None, contract: dict | None = None) -> dict:
+    """Build, store and check the warehouse: the whole batch run.
+
+    Marts are written as Parquet tables under ``out_dir/warehouse`` and read
+    back, so metrics and checks scan stored tables; staging and marts are
+    exported as CSV; metrics, the manifest, the quality report and the
+    contract result are written under ``out_dir``.  Failing quality checks do
+    not fail the run; the returned ``contract_ok`` tells whether the contract held.
+    """
+    import datetime as _dt
+    import os
+
+    from tillroll.operators.contract import SCHEMA_V1, validate_contract
+    from tillroll.operators.metrics import run_metrics
+    from tillroll.operators.quality import EXAMPLE_CONFIG, run_quality, summarize
+    from tillroll.sources.sinks import export_relations, materialize, write_checks, write_metrics
+
+    cfg = config or {"quality": EXAMPLE_CONFIG, "metrics": {}}
+    tables = materialize(spark, build(raw), os.path.join(out_dir, "warehouse"), MARTS)
+    register(tables)
+    export_relations(tables, os.path.join(out_dir, "staging"), ("stg_",))
+    export_relations(tables, os.path.join(out_dir, "marts"), ("dim_", "fct_"))
+
+    mcfg = cfg.get("metrics", {}) or {}
+    results = run_metrics(tables["fct_orders"], mcfg.get("enabled"), mcfg.get("disabled"),
+                          mcfg.get("eval_days"), as_of)
+    manifest = write_metrics(results, os.path.join(out_dir, "metrics"))
+
+    checks = run_quality(tables, cfg.get("quality", {}), as_of)
+    today = (as_of if isinstance(as_of, str) else (as_of or _dt.date.today()).isoformat())
+    report = write_checks(checks, summarize(checks), os.path.join(out_dir, "quality"), today)
+
+    contract_rows = validate_contract(tables, contract or SCHEMA_V1)
+    contract_rows.write.mode("overwrite").json(os.path.join(out_dir, "contract"))
+    contract_ok = contract_rows.where("status <> 'pass'").limit(1).count() == 0
+    return {"tables": tables, "metrics": sorted(results), "manifest": manifest,
+            "quality_summary": report["counts"], "contract_ok": contract_ok}
