@@ -28,6 +28,7 @@ from tillroll.functions.dates import as_date_lit
 from tillroll.functions.money import cents, div_half_away, from_cents
 from tillroll.operators.metrics import signed_cents
 from tillroll.operators.staging import PAID, REFUNDED
+from tillroll.session import ensure_checkpoint_dir
 
 Tables = dict[str, DataFrame]
 
@@ -42,7 +43,7 @@ class Filters:
     countries: Sequence[str] = field(default_factory=tuple)
     categories: Sequence[str] = field(default_factory=tuple)
 
-    def date_range(self, fct_orders: DataFrame) -> tuple[Column, Column]:
+    def date_range(self, orders: DataFrame) -> tuple[Column, Column]:
         start, end = self.start, self.end
         if isinstance(start, str):
             start = _dt.date.fromisoformat(start)
@@ -56,14 +57,22 @@ class Filters:
             if start > end:
                 start, end = end, start
             return F.lit(start).cast("date"), F.lit(end).cast("date")
-        lo, hi = paid_date_bounds(fct_orders)
-        return lo, hi
+        return paid_date_bounds(orders)
 
 
-def paid_date_bounds(fct_orders: DataFrame) -> tuple[Column, Column]:
-    """MIN / MAX paid order date as scalar subqueries (each evaluated once, as a literal)."""
-    paid = fct_orders.where(F.col("order_status") == PAID)
-    return (paid.select(F.min("order_date")).scalar(), paid.select(F.max("order_date")).scalar())
+def paid_date_bounds(orders: DataFrame) -> tuple[Column, Column]:
+    """MIN / MAX paid order date from ONE scalar subquery (evaluated once, used as literals).
+
+    ``orders`` is ``stg_orders`` or ``fct_orders``: both have one row per order
+    with the same date and status, and the staged one avoids the item join.
+    """
+    paid = orders.where(F.col("order_status") == PAID)
+    bounds = paid.select(F.struct(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))).scalar()
+    return bounds["lo"], bounds["hi"]
+
+
+def _order_dates(t: Tables) -> DataFrame:
+    return t["stg_orders"] if "stg_orders" in t else t["fct_orders"]
 
 
 def orders_with_categories(t: Tables, categories: Sequence[str]) -> DataFrame:
@@ -84,7 +93,7 @@ def orders_in_scope(t: Tables, f: Filters, statuses: Sequence[str] = (PAID,),
                     category_exists: bool = True) -> DataFrame:
     """Order-level predicates of the filter (status, date range, category EXISTS), before the customer join."""
     fo = t["fct_orders"]
-    lo, hi = f.date_range(fo)
+    lo, hi = f.date_range(_order_dates(t))
     o = fo.where(F.col("order_status").isin(list(statuses)) & F.col("order_date").between(lo, hi))
     if category_exists and f.categories:
         o = o.join(orders_with_categories(t, f.categories), "order_id", "left_semi")
@@ -134,18 +143,28 @@ def top_categories(t: Tables, f: Filters = Filters(), k: int = 10) -> DataFrame:
             .limit(k))
 
 
+def _last_date() -> Column:
+    # the series has one row per day, so this whole-series window is bounded by the calendar
+    return F.max("metric_date").over(Window.partitionBy())
+
+
 def kpi_windows(series: DataFrame) -> DataFrame:
     """GMV / orders over the 30 and 90 days ending at the series' last date, AOV over 90 days,
-    and the first / last date present in each window.  An empty series gives zeros."""
-    ref = series.select(F.max("metric_date")).scalar()
-    in30 = F.col("metric_date") >= F.date_sub(ref, 29)
-    in90 = F.col("metric_date") >= F.date_sub(ref, 89)
+    and the first / last date present in each window.  An empty series gives zeros.
+
+    One pass over the series: the last date comes from a window over the
+    per-day rows instead of a second evaluation of the series.
+    """
+    s = series.select("metric_date", cents("gmv").alias("_c"), F.col("orders").alias("_o"),
+                      _last_date().alias("_ref"))
+    in30 = F.col("metric_date") >= F.date_sub("_ref", 29)
+    in90 = F.col("metric_date") >= F.date_sub("_ref", 89)
     zero = F.lit(0).cast("bigint")
-    agg = series.agg(
-        F.coalesce(F.sum(F.when(in30, cents("gmv"))), zero).alias("c30"),
-        F.coalesce(F.sum(F.when(in30, F.col("orders"))), zero).alias("orders_30d"),
-        F.coalesce(F.sum(F.when(in90, cents("gmv"))), zero).alias("c90"),
-        F.coalesce(F.sum(F.when(in90, F.col("orders"))), zero).alias("orders_90d"),
+    agg = s.agg(
+        F.coalesce(F.sum(F.when(in30, F.col("_c"))), zero).alias("c30"),
+        F.coalesce(F.sum(F.when(in30, F.col("_o"))), zero).alias("orders_30d"),
+        F.coalesce(F.sum(F.when(in90, F.col("_c"))), zero).alias("c90"),
+        F.coalesce(F.sum(F.when(in90, F.col("_o"))), zero).alias("orders_90d"),
         F.min(F.when(in30, F.col("metric_date"))).alias("start_30d"),
         F.max(F.when(in30, F.col("metric_date"))).alias("end_30d"),
         F.min(F.when(in90, F.col("metric_date"))).alias("start_90d"),
@@ -161,10 +180,10 @@ def kpi_windows(series: DataFrame) -> DataFrame:
 
 def net_gmv_window(net: DataFrame, days: int = 30) -> DataFrame:
     """Net GMV over the ``days`` ending at the net series' own last date (0 when empty)."""
-    ref = net.select(F.max("metric_date")).scalar()
-    inside = F.col("metric_date") >= F.date_sub(ref, days - 1)
-    c = F.coalesce(F.sum(F.when(inside, cents("net_gmv"))), F.lit(0).cast("bigint"))
-    return net.agg(from_cents(c).alias(f"net_gmv_{days}d"))
+    s = net.select("metric_date", cents("net_gmv").alias("_c"), _last_date().alias("_ref"))
+    inside = F.col("metric_date") >= F.date_sub("_ref", days - 1)
+    c = F.coalesce(F.sum(F.when(inside, F.col("_c"))), F.lit(0).cast("bigint"))
+    return s.agg(from_cents(c).alias(f"net_gmv_{days}d"))
 
 
 def with_moving_average(series: DataFrame, values: Sequence[str] = ("gmv", "orders"),
@@ -172,39 +191,48 @@ def with_moving_average(series: DataFrame, values: Sequence[str] = ("gmv", "orde
     """Dense daily calendar from the first to the last date, missing days 0, plus a trailing
     ``n``-row mean (at least one row) per value column, named ``<value>_ma<n>``.
 
-    The calendar and the window hold one row per day, so a single ordered
-    partition is bounded by the date range, not by the data.
+    One pass: each present day expands to itself plus the missing days up to
+    the next present day (``lead`` + ``sequence``), then the moving window runs
+    over the same date order.  Both windows hold one row per calendar day, so
+    the single ordered partition is bounded by the date range, not the data.
     """
-    spine = (series.agg(F.min("metric_date").alias("lo"), F.max("metric_date").alias("hi"))
-             .where(F.col("lo").isNotNull())
-             .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("metric_date")))
-    dense = spine.join(series.select("metric_date", *values), "metric_date", "left")
-    w = Window.orderBy("metric_date").rowsBetween(-(n - 1), 0)
+    by_date = Window.orderBy("metric_date")
+    nxt = F.lead("metric_date").over(by_date)
+    vals = [(cents(v) if v in money else F.col(v)).alias(v) for v in values]
+    s = series.select("metric_date", *vals, nxt.alias("_next"))
+    last = F.coalesce(F.date_sub("_next", 1), F.col("metric_date"))
+    day = F.explode(F.sequence("metric_date", last, F.expr("INTERVAL 1 DAY"))).alias("_day")
+    dense = s.select(day, "metric_date", *values)
+    filled = [F.when(F.col("_day") == F.col("metric_date"), F.coalesce(F.col(v), F.lit(0)))
+              .otherwise(F.lit(0)).cast("bigint").alias(v) for v in values]
+    dense = dense.select(F.col("_day").alias("metric_date"), *filled)
+    w = by_date.rowsBetween(-(n - 1), 0)
+    rows = F.count(F.lit(1)).over(w)
     out = [F.col("metric_date")]
     for v in values:
         if v in money:
-            c = F.coalesce(cents(v), F.lit(0).cast("bigint"))
-            out.append(from_cents(c).alias(v))
-            out.append((F.sum(c).over(w) / (F.count(F.lit(1)).over(w) * F.lit(100.0))).alias(f"{v}_ma{n}"))
+            out.append(from_cents(v).alias(v))
+            out.append((F.sum(v).over(w) / (rows * F.lit(100.0))).alias(f"{v}_ma{n}"))
         else:
-            x = F.coalesce(F.col(v), F.lit(0))
-            out.append(x.alias(v))
-            out.append((F.sum(x).over(w) / F.count(F.lit(1)).over(w)).cast("double").alias(f"{v}_ma{n}"))
+            out.append(F.col(v))
+            out.append((F.sum(v).over(w) / rows).cast("double").alias(f"{v}_ma{n}"))
     return dense.select(*out).orderBy("metric_date")
 
 
 def cohort_matrix(retention: DataFrame) -> DataFrame:
     """Cohort x month_n matrix of retention rates; ``cohort_size`` first; empty cells stay NULL.
 
-    The pivot values are the distinct month offsets (bounded by the calendar:
-    twelve per year of history), listed up front so the schema is fixed.
+    The retention cells (cohorts x months, a calendar-bounded set) are
+    checkpointed once to the reliable checkpoint folder; the distinct month
+    offsets are read from it to fix the pivot schema, and the pivot reads it
+    again instead of recomputing the cohorts.
     """
-    months = [r[0] for r in retention.select("month_n").distinct().orderBy("month_n").collect()]
-    return (retention.groupBy("cohort_month")
+    ensure_checkpoint_dir(retention.sparkSession)
+    cells = retention.select("cohort_month", "cohort_size", "month_n", "retention_rate").checkpoint(eager=True)
+    months = [r[0] for r in cells.select("month_n").distinct().orderBy("month_n").collect()]
+    return (cells.groupBy("cohort_month", "cohort_size")
             .pivot("month_n", months)
             .agg(F.first("retention_rate"))
-            .join(retention.groupBy("cohort_month").agg(F.max("cohort_size").alias("cohort_size")),
-                  "cohort_month")
             .orderBy("cohort_month"))
 
 

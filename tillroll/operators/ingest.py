@@ -14,6 +14,9 @@ single-partition window.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,42 +95,79 @@ def unit_price_2dp(x: Column) -> Column:
     return F.bround(x * F.lit(100.0)) / F.lit(100.0)
 
 
-def ingest_retail(lines: DataFrame, partitions: int | None = None) -> dict[str, DataFrame]:
-    """Flat invoice lines -> ``customers``, ``products``, ``orders``, ``order_items`` (raw layout)."""
-    work = clean_lines(lines)
-    if work.limit(1).count() == 0:
-        raise ValueError("Open dataset has no usable rows after filtering.")
-    order_ids = dense_ids(work, "order_key", "order_id", partitions)
-    product_ids = dense_ids(work, "StockCode", "product_id", partitions)
-
-    items = (work.join(order_ids, "order_key").join(product_ids, "StockCode")
-             .select("order_id", "product_id", F.col("Quantity").cast("bigint").alias("quantity"),
-                     unit_price_2dp(F.col("UnitPrice")).alias("unit_price"), "order_date", "customer_id"))
-
-    # the customer is part of the order key, so MIN is its only value; totals in exact cents
-    item_cents = F.col("quantity") * F.round(F.col("unit_price") * 100).cast("bigint")
-    orders = (items.groupBy("order_id")
-              .agg(F.min("customer_id").alias("customer_id"), F.min("order_date").alias("order_date"),
-                   (F.sum(item_cents) / F.lit(100.0)).alias("total_amount"))
-              .select("order_id", "customer_id", "order_date", F.lit("paid").alias("status"), "total_amount"))
-
-    known = F.col("Country").isNotNull()
-    customers = (work.groupBy("customer_id")
-                 .agg(F.min("order_date").alias("signup_date"),
-                      F.min_by(F.when(known, F.col("Country")), F.when(known, F.col("line_no"))).alias("country"))
-                 .select("customer_id", "signup_date", "country",
-                         F.format_string("cust%07d@open-data.local", F.col("customer_id")).alias("email")))
-
-    first_day = work.select(F.min("order_date")).scalar()
-    products = (work.groupBy("StockCode")
+class RetailTables(Mapping):
+    """The four raw tables of an ingest, each built when first asked for.
+
+    Orders and items need the order ids, items and products the product ids;
+    each dense-id table is computed (and checkpointed) at most once, and only
+    when a table that needs it is requested.
+    """
+
+    NAMES = ("customers", "products", "orders", "order_items")
+
+    def __init__(self, work: DataFrame, partitions: int | None = None):
+        self.work, self.partitions, self._built = work, partitions, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = getattr(self, "_" + name)()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    @cached_property
+    def order_ids(self) -> DataFrame:
+        return dense_ids(self.work, "order_key", "order_id", self.partitions)
+
+    @cached_property
+    def product_ids(self) -> DataFrame:
+        return dense_ids(self.work, "StockCode", "product_id", self.partitions)
+
+    def _order_items(self) -> DataFrame:
+        return (self.work.join(self.order_ids, "order_key").join(self.product_ids, "StockCode")
+                .select("order_id", "product_id", F.col("Quantity").cast("bigint").alias("quantity"),
+                        unit_price_2dp(F.col("UnitPrice")).alias("unit_price")))
+
+    def _orders(self) -> DataFrame:
+        # per order key first (partial aggregates), then one id per key: the customer is part
+        # of the key, so MIN is its only value; totals are exact cents of quantity x rounded price
+        price_cents = F.round(unit_price_2dp(F.col("UnitPrice")) * 100).cast("bigint")
+        per_key = (self.work.groupBy("order_key")
+                   .agg(F.min("customer_id").alias("customer_id"), F.min("order_date").alias("order_date"),
+                        F.sum(F.col("Quantity").cast("bigint") * price_cents).alias("_c")))
+        return per_key.join(self.order_ids, "order_key").select(
+            "order_id", "customer_id", "order_date", F.lit("paid").alias("status"),
+            (F.col("_c") / F.lit(100.0)).alias("total_amount"))
+
+    def _customers(self) -> DataFrame:
+        known = F.col("Country").isNotNull()
+        return (self.work.groupBy("customer_id")
+                .agg(F.min("order_date").alias("signup_date"),
+                     F.min_by(F.when(known, F.col("Country")), F.when(known, F.col("line_no"))).alias("country"))
+                .select("customer_id", "signup_date", "country",
+                        F.format_string("cust%07d@open-data.local", F.col("customer_id")).alias("email")))
+
+    def _products(self) -> DataFrame:
+        first_day = self.work.select(F.min("order_date")).scalar()
+        return (self.work.groupBy("StockCode")
                 .agg(F.min_by(F.col("Description"), F.col("line_no")).alias("_desc"))
-                .join(product_ids, "StockCode")
+                .join(self.product_ids, "StockCode")
                 .select("product_id", derive_category(F.col("_desc")).alias("category"),
                         first_day.alias("created_at")))
 
-    return {
-        "customers": customers,
-        "products": products,
-        "orders": orders,
-        "order_items": items.select("order_id", "product_id", "quantity", "unit_price"),
-    }
+
+def ingest_retail(lines: DataFrame, partitions: int | None = None) -> RetailTables:
+    """Flat invoice lines -> ``customers``, ``products``, ``orders``, ``order_items`` (raw layout).
+
+    Raises when no line survives cleaning.  Tables are built on first access.
+    """
+    work = clean_lines(lines)
+    if work.limit(1).count() == 0:
+        raise ValueError("Open dataset has no usable rows after filtering.")
+    return RetailTables(work, partitions)
