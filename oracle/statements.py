@@ -263,3 +263,8 @@ from oracle import ingest as _ingest  # noqa: E402
 
 for _name in _ingest.STATEMENTS:
     ORACLE[_name] = _ingest.statement(_name)
+
+# --- sources and sinks round trips: same rows as the in-memory relations -------------------------
+
+ORACLE["raw_csv_row_counts"] = ORACLE["raw_row_counts"]
+ORACLE["stored_fct_orders"] = ORACLE["fct_orders"]

@@ -117,13 +117,13 @@ def _series(t: Tables, f: Filters, statuses: Sequence[str], amount: Column) -> D
 def daily_series(t: Tables, f: Filters = Filters()) -> DataFrame:
     """Paid orders in scope per day: ``metric_date, gmv, orders``."""
     s = _series(t, f, (PAID,), cents("order_amount_from_items"))
-    return s.select("metric_date", from_cents("_c").alias("gmv"), F.col("_n").alias("orders")).orderBy("metric_date")
+    return s.select("metric_date", from_cents("_c").alias("gmv"), F.col("_n").alias("orders")).orderBy(F.col("metric_date").asc_nulls_last())
 
 
 def net_series(t: Tables, f: Filters = Filters()) -> DataFrame:
     """Paid minus refunded per day: ``metric_date, net_gmv``."""
     s = _series(t, f, (PAID, REFUNDED), signed_cents(F.col("order_status"), F.col("order_amount_from_items")))
-    return s.select("metric_date", from_cents("_c").alias("net_gmv")).orderBy("metric_date")
+    return s.select("metric_date", from_cents("_c").alias("net_gmv")).orderBy(F.col("metric_date").asc_nulls_last())
 
 
 def top_categories(t: Tables, f: Filters = Filters(), k: int = 10) -> DataFrame:
@@ -216,7 +216,7 @@ def with_moving_average(series: DataFrame, values: Sequence[str] = ("gmv", "orde
         else:
             out.append(F.col(v))
             out.append((F.sum(v).over(w) / rows).cast("double").alias(f"{v}_ma{n}"))
-    return dense.select(*out).orderBy("metric_date")
+    return dense.select(*out).orderBy(F.col("metric_date").asc_nulls_last())
 
 
 def cohort_matrix(retention: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ def cohort_matrix(retention: DataFrame) -> DataFrame:
     return (cells.groupBy("cohort_month", "cohort_size")
             .pivot("month_n", months)
             .agg(F.first("retention_rate"))
-            .orderBy("cohort_month"))
+            .orderBy(F.col("cohort_month").asc_nulls_last()))
 
 
 def filter_bounds(fct_orders: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
@@ -261,4 +261,4 @@ def filter_options(t: Tables) -> DataFrame:
     categories = (t["dim_products"].select("product_id", "category").join(product_ids, "product_id")
                   .select(F.lit("category").alias("option"), F.col("category").alias("value")))
     return (countries.unionByName(categories).where(F.col("value").isNotNull()).distinct()
-            .orderBy("option", "value"))
+            .orderBy("option", F.col("value").asc_nulls_last()))

@@ -257,3 +257,34 @@ def _retail(name):
 
 for _name in ("order_items", "orders", "customers", "products"):
     query(_retail(_name))
+
+
+# --- sources and sinks round trips ----------------------------------------------------------
+
+import uuid as _uuid  # noqa: E402
+
+from tillroll.session import ensure_checkpoint_dir as _ckpt  # noqa: E402
+from tillroll.sources.raw import read_raw  # noqa: E402
+from tillroll.sources.sinks import materialize as _materialize  # noqa: E402
+from tillroll.sources.sinks import write_table as _write_table  # noqa: E402
+
+
+def _scratch(spark) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    return f"{_ckpt(spark).rstrip('/')}/tillroll-{_uuid.uuid4().hex}"
+
+
+@query
+def raw_csv_row_counts(spark, sf_dir):
+    """Raw tables written as CSV with header, then loaded with the declared schemas."""
+    root = _scratch(spark)
+    raw = _tpch.raw_tables(spark, sf_dir)
+    for name, df in raw.items():
+        _write_table(df, f"{root}/{name}.csv", "csv")
+    return row_counts(read_raw(spark, root, "csv"))
+
+
+@query
+def stored_fct_orders(spark, sf_dir):
+    """fct_orders after a write to Parquet and a read back (the stored mart table)."""
+    return _materialize(spark, _wh(spark, sf_dir), _scratch(spark), ["fct_orders"])["fct_orders"]
