@@ -1 +1 @@
-
+"""Raw table sources, the test-data adapter and sinks."""

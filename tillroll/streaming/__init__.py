@@ -1 +1,7 @@
+"""Streaming: intentionally empty.
 
+The source system is a batch warehouse: it has no watermark, event-time
+window, stateful operator or late-data rule, so no streaming operator is
+built.  The staging functions (``tillroll.operators.staging``) are
+stateless projections and apply unchanged to a ``readStream`` DataFrame.
+"""
