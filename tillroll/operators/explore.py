@@ -32,7 +32,7 @@ from tillroll.functions.dates import as_date_lit
 from tillroll.functions.money import cents, div_half_away, from_cents
 from tillroll.operators.metrics import signed_cents
 from tillroll.operators.staging import PAID, REFUNDED
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import stage
 
 Tables = dict[str, DataFrame]
 
@@ -221,13 +221,12 @@ def with_moving_average(series: DataFrame, values: Sequence[str] = ("gmv", "orde
 def cohort_matrix(retention: DataFrame) -> DataFrame:
     """Cohort x month_n matrix of retention rates; ``cohort_size`` first; empty cells stay NULL.
 
-    The retention cells (cohorts x months, a calendar-bounded set) are
-    checkpointed once to the reliable checkpoint folder; the distinct month
-    offsets are read from it to fix the pivot schema, and the pivot reads it
-    again instead of recomputing the cohorts.
+    The retention cells (cohorts x months, a calendar-bounded set) are written
+    once to the shared checkpoint folder; the distinct month offsets are read
+    from them to fix the pivot schema, and the pivot reads them again instead
+    of recomputing the cohorts.
     """
-    ensure_checkpoint_dir(retention.sparkSession)
-    cells = retention.select("cohort_month", "cohort_size", "month_n", "retention_rate").checkpoint(eager=True)
+    cells = stage(retention.select("cohort_month", "cohort_size", "month_n", "retention_rate"), "cohorts")
     months = [r[0] for r in cells.select("month_n").distinct().orderBy("month_n").collect()]
     return (cells.groupBy("cohort_month", "cohort_size")
             .pivot("month_n", months)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.casts import try_number, try_timestamp
 from tillroll.functions.text import derive_category, strip
-from tillroll.session import ensure_checkpoint_dir
+from tillroll.session import stage as stage_table
 from tillroll.sources.schemas import RETAIL_LINE_COLUMNS
 
 KEY_COLUMNS = ("CustomerID", "Quantity", "UnitPrice", "InvoiceDate", "InvoiceNo", "StockCode")
@@ -71,18 +71,18 @@ def dense_ids(df: DataFrame, key: str, id_col: str, partitions: int | None = Non
 
     Distinct keys are range-partitioned and sorted inside each partition, so a
     key's rank is (keys in earlier partitions) + (position in its partition).
-    The partitioned keys are checkpointed to the reliable checkpoint folder so
-    the partition counts and the positions come from one materialisation even
-    if executors are lost.  The offsets table has one row per partition, which
-    is what makes its broadcast safe.
+    The partition number and position are stored with each key (Parquet in the
+    shared checkpoint folder), so the counts and the positions come from one
+    materialisation even if executors are lost.  The offsets table has one row
+    per partition, which is what makes its broadcast safe.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    ranged = (df.select(key).where(F.col(key).isNotNull()).distinct()
-              .repartitionByRange(n, key).sortWithinPartitions(key)
-              .select(key, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
-              .checkpoint(eager=True))
+    ranged = stage_table(
+        df.select(key).where(F.col(key).isNotNull()).distinct()
+        .repartitionByRange(n, key).sortWithinPartitions(key)
+        .select(key, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m")),
+        "dense-ids")
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
                .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
@@ -99,7 +99,7 @@ class RetailTables(Mapping):
     """The four raw tables of an ingest, each built when first asked for.
 
     Orders and items need the order ids, items and products the product ids;
-    each dense-id table is computed (and checkpointed) at most once, and only
+    each dense-id table is computed (and staged) at most once, and only
     when a table that needs it is requested.
     """
 
@@ -162,12 +162,19 @@ class RetailTables(Mapping):
                         first_day.alias("created_at")))
 
 
-def ingest_retail(lines: DataFrame, partitions: int | None = None) -> RetailTables:
+def ingest_retail(lines: DataFrame, partitions: int | None = None, stage: bool = True) -> RetailTables:
     """Flat invoice lines -> ``customers``, ``products``, ``orders``, ``order_items`` (raw layout).
 
-    Raises when no line survives cleaning.  Tables are built on first access.
+    With ``stage`` (default) the cleaned lines are written once as Parquet in
+    the shared checkpoint folder: the id tables and the four outputs all read
+    them, so the source (often CSV, or a join) is parsed once instead of once
+    per derived table, and a lost executor re-reads the staged lines rather
+    than recomputing the source.  Raises when no line survives cleaning.
+    Tables are built on first access.
     """
     work = clean_lines(lines)
+    if stage:
+        work = stage_table(work, "retail-lines")
     if work.limit(1).count() == 0:
         raise ValueError("Open dataset has no usable rows after filtering.")
     return RetailTables(work, partitions)

@@ -59,3 +59,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def stage(df, label: str = "stage"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and return it re-read.
+
+    This cuts the lineage like ``checkpoint()`` but keeps the data columnar:
+    later readers get column pruning and filter pushdown, and a lost executor
+    re-reads files instead of recomputing the plan.  Each call writes a fresh
+    folder, so concurrent runs never share one.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tillroll-{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
