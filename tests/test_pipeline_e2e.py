@@ -25,3 +25,20 @@ def test_run_all_small(spark):
     summary = spark.read.json(os.path.join(out, "quality/summary.json")).first()
     assert summary["generated_at"] == "2001-08-15"
     assert set(json.loads(summary["summary"])) >= {"pass", "warn", "fail"}
+
+
+def test_partitioned_fct_orders_prunes_by_date(spark):
+    import re
+
+    from tillroll.operators.explore import Filters, daily_series
+    from tillroll.plans.pipeline import build
+    from tillroll.sources.sinks import materialize
+    out = tempfile.mkdtemp(prefix="tillroll-part-")
+    built = build(tpch.raw_tables(spark, "/root/testdata/sf0.001"))
+    stored = materialize(spark, built, out, ["fct_orders"], {"fct_orders": ["order_date"]})
+    assert stored["fct_orders"].columns == built["fct_orders"].columns
+    s = daily_series(stored, Filters(start="2000-01-01", end="2000-01-31"))
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*order_date", plan)
+    want = daily_series(built, Filters(start="2000-01-01", end="2000-01-31")).collect()
+    assert sorted(map(tuple, s.collect())) == sorted(map(tuple, want))
