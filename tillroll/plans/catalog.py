@@ -7,13 +7,22 @@ lives in ``oracle.statements``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillroll.operators import contract as C
+from tillroll.operators import explore as X
+from tillroll.operators import ingest as I
 from tillroll.operators import metrics as M
+from tillroll.operators import quality as Q
 from tillroll.plans.pipeline import warehouse_from_testdata
-from tillroll.sources.raw import row_counts
+from tillroll.session import ensure_checkpoint_dir
+from tillroll.sources import tpch
+from tillroll.sources.raw import read_raw, row_counts
+from tillroll.sources.sinks import materialize, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,7 +71,6 @@ for _name in sorted(M.METRICS):
 
 # --- explore: filtered series, top categories, KPI windows, cohorts ----------------------
 
-from tillroll.operators import explore as X  # noqa: E402
 
 # A dashboard selection exercising every filter branch (dates, country IN, category EXISTS)
 SAMPLE_FILTERS = X.Filters(start="2000-12-31", end="1996-01-01",
@@ -152,10 +160,6 @@ def metrics_manifest(spark, sf_dir):
 
 # --- quality and contract ------------------------------------------------------------------
 
-from pyspark.sql import functions as _F  # noqa: E402
-
-from tillroll.operators import contract as C  # noqa: E402
-from tillroll.operators import quality as Q  # noqa: E402
 
 # the default integrity rules plus the reverse rule "every order has item lines"
 RI_RULES = (*Q.REFERENTIAL_INTEGRITY_RULES,
@@ -166,8 +170,8 @@ QUALITY_CONFIG = {**Q.EXAMPLE_CONFIG, "referential_integrity": list(RI_RULES)}
 
 def _render(checks):
     """Sample keys rendered as list text, so the result compares as flat columns."""
-    return checks.withColumn("sample_rows", _F.concat(_F.lit("["), _F.array_join("sample_rows", ", "),
-                                                      _F.lit("]")))
+    return checks.withColumn("sample_rows", F.concat(F.lit("["), F.array_join("sample_rows", ", "),
+                                                      F.lit("]")))
 
 
 @query
@@ -226,8 +230,6 @@ def contract_validation(spark, sf_dir):
 
 # --- open retail ingest ----------------------------------------------------------------------
 
-from tillroll.operators import ingest as I  # noqa: E402
-from tillroll.sources import tpch as _tpch  # noqa: E402
 
 CLEAN_COLUMNS = ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
                  "CustomerID", "Country", "customer_id", "order_date", "order_key")
@@ -235,22 +237,22 @@ CLEAN_COLUMNS = ("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDa
 
 @query
 def retail_clean_lines(spark, sf_dir):
-    return I.clean_lines(_tpch.retail_lines(spark, sf_dir)).select(*CLEAN_COLUMNS)
+    return I.clean_lines(tpch.retail_lines(spark, sf_dir)).select(*CLEAN_COLUMNS)
 
 
 @query
 def retail_order_ids(spark, sf_dir):
-    return I.dense_ids(I.clean_lines(_tpch.retail_lines(spark, sf_dir)), "order_key", "order_id")
+    return I.dense_ids(I.clean_lines(tpch.retail_lines(spark, sf_dir)), "order_key", "order_id")
 
 
 @query
 def retail_product_ids(spark, sf_dir):
-    return I.dense_ids(I.clean_lines(_tpch.retail_lines(spark, sf_dir)), "StockCode", "product_id")
+    return I.dense_ids(I.clean_lines(tpch.retail_lines(spark, sf_dir)), "StockCode", "product_id")
 
 
 def _retail(name):
     def q(spark, sf_dir):
-        return I.ingest_retail(_tpch.retail_lines(spark, sf_dir))[name]
+        return I.ingest_retail(tpch.retail_lines(spark, sf_dir))[name]
     q.__name__ = "retail_" + name
     return q
 
@@ -261,30 +263,23 @@ for _name in ("order_items", "orders", "customers", "products"):
 
 # --- sources and sinks round trips ----------------------------------------------------------
 
-import uuid as _uuid  # noqa: E402
-
-from tillroll.session import ensure_checkpoint_dir as _ckpt  # noqa: E402
-from tillroll.sources.raw import read_raw  # noqa: E402
-from tillroll.sources.sinks import materialize as _materialize  # noqa: E402
-from tillroll.sources.sinks import write_table as _write_table  # noqa: E402
-
 
 def _scratch(spark) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
-    return f"{_ckpt(spark).rstrip('/')}/tillroll-{_uuid.uuid4().hex}"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillroll-{uuid.uuid4().hex}"
 
 
 @query
 def raw_csv_row_counts(spark, sf_dir):
     """Raw tables written as CSV with header, then loaded with the declared schemas."""
     root = _scratch(spark)
-    raw = _tpch.raw_tables(spark, sf_dir)
+    raw = tpch.raw_tables(spark, sf_dir)
     for name, df in raw.items():
-        _write_table(df, f"{root}/{name}.csv", "csv")
+        write_table(df, f"{root}/{name}.csv", "csv")
     return row_counts(read_raw(spark, root, "csv"))
 
 
 @query
 def stored_fct_orders(spark, sf_dir):
     """fct_orders after a write to Parquet and a read back (the stored mart table)."""
-    return _materialize(spark, _wh(spark, sf_dir), _scratch(spark), ["fct_orders"])["fct_orders"]
+    return materialize(spark, _wh(spark, sf_dir), _scratch(spark), ["fct_orders"])["fct_orders"]
