@@ -89,6 +89,12 @@ def daily_series_filtered(spark, sf_dir):
     return X.daily_series(_wh(spark, sf_dir), SAMPLE_FILTERS)
 
 
+@query
+def filtered_orders(spark, sf_dir):
+    """The orders passing the sample filter, joined to their customer (P8 as a relation)."""
+    return X.filter_orders(_wh(spark, sf_dir), SAMPLE_FILTERS)
+
+
 @query
 def net_series(spark, sf_dir):
     return X.net_series(_wh(spark, sf_dir))
@@ -223,6 +229,11 @@ def dq_failed(spark, sf_dir):
     return Q.failed(_report(spark, sf_dir))
 
 
+@query
+def dq_warned(spark, sf_dir):
+    return Q.warned(_report(spark, sf_dir))
+
+
 @query
 def contract_validation(spark, sf_dir):
     return C.validate_contract(_wh(spark, sf_dir), C.SCHEMA_V1)
