@@ -40,21 +40,27 @@ def get_spark(master: str | None = None, app: str = "tillroll", shuffle_partitio
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, taken from the session.
+    """Return the shared folder for checkpoints and staged tables, taken from the session.
 
     ``spark.checkpoint.dir`` names a folder every executor can reach; it is
     read from the session and only set here when it is missing, which is
     allowed for local sessions (tests) only.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if sc is None:
+            return configured
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     folder = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)

@@ -5,19 +5,13 @@ from __future__ import annotations
 import os
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
 def read_raw(spark: SparkSession, raw_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
     """Load ``customers``, ``products``, ``orders``, ``order_items`` from ``raw_dir``.
 
@@ -26,14 +20,19 @@ def read_raw(spark: SparkSession, raw_dir: str, fmt: str = "csv") -> dict[str, D
     so a missing table fails the whole load up front.
     """
     ext = {"csv": ".csv", "parquet": ".parquet"}[fmt]
-    paths = {t: os.path.join(raw_dir, t + ext) for t in RAW_TABLES}
-    missing = [p for p in paths.values() if not _exists(spark, p)]
-    if missing:
-        raise FileNotFoundError(f"Missing raw file(s): {', '.join(missing)}")
-    out = {}
+    out, missing = {}, []
     for t in RAW_TABLES:
+        path = os.path.join(raw_dir, t + ext)
         reader = spark.read.schema(RAW_SCHEMAS[t])
-        out[t] = reader.option("header", True).csv(paths[t]) if fmt == "csv" else reader.parquet(paths[t])
+        try:
+            # defining the source resolves the path (no data is read yet)
+            out[t] = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            missing.append(path)
+    if missing:
+        raise FileNotFoundError(f"Missing raw file(s): {', '.join(missing)}")
     return out
 
 
