@@ -60,3 +60,12 @@ def test_category_filter_counts_whole_orders(spark, warehouse):
     with_cat = X.daily_series(warehouse, f).agg({"orders": "sum"}).first()[0]
     all_orders = X.daily_series(warehouse).agg({"orders": "sum"}).first()[0]
     assert 0 < with_cat < all_orders
+
+
+def test_default_range_without_paid_orders_is_today(spark, warehouse):
+    import pyspark.sql.functions as F
+    no_paid = {**warehouse, "stg_orders": warehouse["stg_orders"].where("order_status <> 'paid'"),
+               "fct_orders": warehouse["fct_orders"].where("order_status <> 'paid'")}
+    lo, hi = X.Filters().date_range(no_paid["stg_orders"])
+    today = spark.range(1).select(F.current_date()).first()[0]
+    assert tuple(spark.range(1).select(lo, hi).first()) == (today, today)

@@ -72,7 +72,8 @@ def paid_date_bounds(orders: DataFrame) -> tuple[Column, Column]:
     """
     paid = orders.where(F.col("order_status") == PAID)
     bounds = paid.select(F.struct(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))).scalar()
-    return bounds["lo"], bounds["hi"]
+    # no paid order at all: the range is today..today
+    return F.coalesce(bounds["lo"], F.current_date()), F.coalesce(bounds["hi"], F.current_date())
 
 
 def _order_dates(t: Tables) -> DataFrame:
