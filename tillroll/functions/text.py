@@ -10,12 +10,18 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Python's whitespace: the characters str.strip() and str.split() treat as space,
+# derived from str.isspace (none lies above U+3000)
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+_WS = "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE)  # as a regex character-class body
+
+
 def strip(x: Column | str) -> Column:
-    """Python ``str.strip()``: remove Unicode whitespace at both ends.
+    """Python ``str.strip()``: remove Python whitespace at both ends (no regex).
 
     Spark's ``trim`` removes only the space character.
     """
-    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_c(x), F.lit(PY_WHITESPACE))
 
 
 def title_case(x: Column | str) -> Column:
@@ -38,7 +44,7 @@ def derive_category(description: Column | str) -> Column:
     description is treated as the text ``nan`` (so it becomes ``Nan``).
     """
     text = strip(F.coalesce(_c(description).cast("string"), F.lit("nan")))
-    token = F.regexp_extract(text, r"(?U)^(\S+)", 1)
+    token = F.regexp_extract(text, f"^([^{_WS}]+)", 1)
     # fixed value: the punctuation set stripped from the token's ends
     token = F.regexp_replace(token, r"^[.,;:\-_]+|[.,;:\-_]+$", "")
     return F.when(token == "", F.lit("General")).otherwise(title_case(token))
