@@ -67,3 +67,13 @@ def test_referential_integrity_shuffles_each_side_once(spark, no_auto_broadcast)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 2
     assert "partial_count" in plan
+
+
+def test_key_rules_on_one_column_share_a_shuffle(spark):
+    """Uniqueness and integrity rules over the same column reuse one key-count exchange."""
+    df = entry.queries()["dq_report"](spark, SF)
+    df.collect()
+    final = plan_of(df)
+    assert "isFinalPlan=true" in final
+    reused = re.findall(r"ReusedExchange \[([a-z_]+)#\d+L?, count#", final)
+    assert {"order_id", "customer_id", "product_id"} <= set(reused)
