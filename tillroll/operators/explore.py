@@ -120,13 +120,15 @@ def _series(t: Tables, f: Filters, statuses: Sequence[str], amount: Column) -> D
 def daily_series(t: Tables, f: Filters = Filters()) -> DataFrame:
     """Paid orders in scope per day: ``metric_date, gmv, orders``."""
     s = _series(t, f, (PAID,), cents("order_amount_from_items"))
-    return s.select("metric_date", from_cents("_c").alias("gmv"), F.col("_n").alias("orders")).orderBy(F.col("metric_date").asc_nulls_last())
+    return (s.select("metric_date", from_cents("_c").alias("gmv"), F.col("_n").alias("orders"))
+            .orderBy(F.col("metric_date").asc_nulls_last()))
 
 
 def net_series(t: Tables, f: Filters = Filters()) -> DataFrame:
     """Paid minus refunded per day: ``metric_date, net_gmv``."""
     s = _series(t, f, (PAID, REFUNDED), signed_cents(F.col("order_status"), F.col("order_amount_from_items")))
-    return s.select("metric_date", from_cents("_c").alias("net_gmv")).orderBy(F.col("metric_date").asc_nulls_last())
+    return (s.select("metric_date", from_cents("_c").alias("net_gmv"))
+            .orderBy(F.col("metric_date").asc_nulls_last()))
 
 
 def top_categories(t: Tables, f: Filters = Filters(), k: int = 10) -> DataFrame:
