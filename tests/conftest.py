@@ -19,5 +19,5 @@ def spark():
 
 @pytest.fixture(scope="session")
 def warehouse(spark):
-    from tillroll.plans.pipeline import warehouse_from_testdata
+    from tillroll.plans.warehouse import warehouse_from_testdata
     return warehouse_from_testdata(spark, SF_SMALL)

@@ -56,7 +56,7 @@ def test_item_join_is_pruned_when_no_item_column_is_used(spark):
 
 def test_referential_integrity_shuffles_each_side_once(spark, no_auto_broadcast):
     from tillroll.operators import quality as Q
-    from tillroll.plans.pipeline import warehouse_from_testdata
+    from tillroll.plans.warehouse import warehouse_from_testdata
     t = warehouse_from_testdata(spark, SF)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

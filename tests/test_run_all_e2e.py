@@ -2,7 +2,7 @@ import json
 import os
 import tempfile
 
-from tillroll.plans.pipeline import RELATIONS, run_all
+from tillroll.plans.warehouse import RELATIONS, run_all
 from tillroll.sources import tpch
 
 
@@ -31,7 +31,7 @@ def test_partitioned_fct_orders_prunes_by_date(spark):
     import re
 
     from tillroll.operators.explore import Filters, daily_series
-    from tillroll.plans.pipeline import build
+    from tillroll.plans.warehouse import build
     from tillroll.sources.sinks import materialize
     out = tempfile.mkdtemp(prefix="tillroll-part-")
     built = build(tpch.raw_tables(spark, "/root/testdata/sf0.001"))

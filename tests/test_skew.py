@@ -13,7 +13,7 @@ import pytest
 from tillroll.operators import explore as X
 from tillroll.operators import metrics as M
 from tillroll.operators import quality as Q
-from tillroll.plans.pipeline import build
+from tillroll.plans.warehouse import build
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",

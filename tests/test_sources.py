@@ -4,7 +4,7 @@ import tempfile
 import pytest
 
 from tillroll.operators.metrics import run_metrics
-from tillroll.plans.pipeline import register
+from tillroll.plans.warehouse import register
 from tillroll.sources.raw import read_raw, row_counts
 from tillroll.sources.sinks import export_relations, list_relations, write_table
 

@@ -1 +1 @@
-"""Composition: the warehouse pipeline and the registered query catalog."""
+"""Composition: the warehouse build and the registered query catalog."""

@@ -18,7 +18,7 @@ from tillroll.operators import explore as X
 from tillroll.operators import ingest as I
 from tillroll.operators import metrics as M
 from tillroll.operators import quality as Q
-from tillroll.plans.pipeline import warehouse_from_testdata
+from tillroll.plans.warehouse import warehouse_from_testdata
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import tpch
 from tillroll.sources.raw import read_raw, row_counts

@@ -1,4 +1,4 @@
-"""Whole-pipeline composition: raw -> staging -> marts, as lazy DataFrames.
+"""Warehouse composition: raw -> staging -> marts, as lazy DataFrames.
 
 Nothing runs until a sink or an action; dependencies are function calls, not
 file-name order.  ``register`` exposes every relation as a temp view so SQL
