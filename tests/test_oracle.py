@@ -15,7 +15,7 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 
 def _norm(v):
     if isinstance(v, float):
-        return repr(0.0 if v == 0 else v)
+        return repr(v)  # strict: -0.0 and 0.0 differ, as in a value hash
     if isinstance(v, decimal.Decimal):
         return repr(float(v))
     if isinstance(v, (dt.date, dt.datetime)):
