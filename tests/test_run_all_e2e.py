@@ -22,6 +22,9 @@ def test_run_all_small(spark):
         assert os.path.isdir(os.path.join(out, sub)), sub
     manifest = spark.read.json(os.path.join(out, "metrics/metrics_manifest.json")).collect()
     assert {r["metric"] for r in manifest} == set(res["metrics"])
+    for r in manifest:  # the counts are those of the written outputs
+        assert r["rows"] == spark.read.option("header", True).csv(r["csv"]).count()
+        assert r["rows"] == spark.read.json(r["json"]).count()
     summary = spark.read.json(os.path.join(out, "quality/summary.json")).first()
     assert summary["generated_at"] == "2001-08-15"
     assert set(json.loads(summary["summary"])) >= {"pass", "warn", "fail"}

@@ -59,7 +59,7 @@ def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config
 
     from tillroll.operators.contract import SCHEMA_V1, validate_contract
     from tillroll.operators.metrics import run_metrics
-    from tillroll.operators.quality import EXAMPLE_CONFIG, run_quality, summarize
+    from tillroll.operators.quality import EXAMPLE_CONFIG, run_quality
     from tillroll.sources.sinks import export_relations, materialize, write_checks, write_metrics
 
     cfg = config or {"quality": EXAMPLE_CONFIG, "metrics": {}}
@@ -76,7 +76,7 @@ def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config
 
     checks = run_quality(tables, cfg.get("quality", {}), as_of)
     today = (as_of if isinstance(as_of, str) else (as_of or _dt.date.today()).isoformat())
-    report = write_checks(checks, summarize(checks), os.path.join(out_dir, "quality"), today)
+    report = write_checks(checks, os.path.join(out_dir, "quality"), today)
 
     contract_rows = validate_contract(tables, contract or SCHEMA_V1)
     contract_rows.write.mode("overwrite").json(os.path.join(out_dir, "contract"))

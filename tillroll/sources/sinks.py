@@ -11,6 +11,7 @@ import json
 import os
 from collections.abc import Iterable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -74,25 +75,37 @@ def write_metric(df: DataFrame, out_dir: str, name: str) -> dict[str, str]:
 
 
 def write_metrics(results: Mapping[str, DataFrame], out_dir: str) -> DataFrame:
-    """Write each metric and a manifest ``(metric, rows, csv, json)``; returns the manifest."""
-    from tillroll.operators.metrics import manifest
+    """Write each metric and a manifest ``(metric, rows, csv, json)``; returns the manifest.
+
+    A metric result is one row per day (or per cohort cell), so it is kept
+    for the two writes and the row count instead of being computed three
+    times from the facts; a lost executor just recomputes its part.
+    """
     spark = next(iter(results.values())).sparkSession
-    paths = {name: write_metric(df, out_dir, name) for name, df in results.items()}
-    # count the written outputs (cheap re-read) rather than recomputing the metrics
-    written = {name: spark.read.option("header", True).csv(p["csv"]) for name, p in paths.items()}
-    files = spark.createDataFrame([(n, p["csv"], p["json"]) for n, p in paths.items()],
-                                  "metric string, csv string, json string")
-    m = manifest(written).join(files, "metric")
+    entries = []
+    for name, df in results.items():
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        paths = write_metric(kept, out_dir, name)
+        entries.append((name, kept.count(), paths["csv"], paths["json"]))
+        kept.unpersist()
+    m = spark.createDataFrame(entries, "metric string, rows long, csv string, json string")
     m.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "metrics_manifest.json"))
     return m
 
 
-def write_checks(checks: DataFrame, summary: DataFrame, out_dir: str, generated_at: str) -> dict[str, str]:
-    """Quality report: check rows (JSON lines) and a one-object summary with the run date."""
+def write_checks(checks: DataFrame, out_dir: str, generated_at: str) -> dict:
+    """Quality report: check rows (JSON lines) and a one-object summary with the run date.
+
+    The check rows (one per configured rule) are kept for the write and the
+    summary, so the checks run once.
+    """
+    from tillroll.operators.quality import summarize
+    kept = checks.persist(StorageLevel.MEMORY_AND_DISK)
     checks_path = os.path.join(out_dir, "checks.json")
-    checks.write.mode("overwrite").json(checks_path)
-    counts = {r["status"]: int(r["count"]) for r in summary.collect()}  # a handful of statuses
-    summary_df = summary.sparkSession.createDataFrame(
+    kept.write.mode("overwrite").json(checks_path)
+    counts = {r["status"]: int(r["count"]) for r in summarize(kept).collect()}  # a handful of statuses
+    kept.unpersist()
+    summary_df = checks.sparkSession.createDataFrame(
         [(generated_at, json.dumps(counts, sort_keys=True))],
         T.StructType([T.StructField("generated_at", T.StringType()), T.StructField("summary", T.StringType())]))
     summary_path = os.path.join(out_dir, "summary.json")
