@@ -13,6 +13,9 @@ def test_run_all_small(spark):
            "metrics": {"eval_days": 90, "enabled": ["m_gmv_daily", "m_net_gmv_daily", "m_retention_cohort"]}}
     res = run_all(spark, tpch.raw_tables(spark, "/root/testdata/sf0.001"), out, cfg, as_of="2001-08-15")
     assert set(RELATIONS) <= set(res["tables"])
+    from tillroll.plans.warehouse import build
+    lazy = build(tpch.raw_tables(spark, "/root/testdata/sf0.001"))["fct_orders"]
+    assert sorted(map(tuple, res["tables"]["fct_orders"].collect())) == sorted(map(tuple, lazy.collect()))
     assert res["metrics"] == ["m_gmv_daily", "m_net_gmv_daily", "m_retention_cohort"]
     assert set(res["quality_summary"]) >= {"pass", "warn", "fail"}
     assert res["contract_ok"] is True
