@@ -21,9 +21,14 @@ def _c(x: Column | str) -> Column:
 
 
 def round_dp(x: Column | str, n: int) -> Column:
-    """ROUND(x, n) on a DOUBLE, half away from zero on the scaled binary value."""
+    """ROUND(x, n) on a DOUBLE, half away from zero on the scaled binary value.
+
+    A result of zero keeps the sign of ``x`` (ROUND(-0.3, 0) is -0.0 in SQL,
+    while Spark's decimal rounding has no negative zero).
+    """
     scale = float(10**n)
-    return F.round(_c(x) * F.lit(scale)) / F.lit(scale)
+    r = F.round(_c(x) * F.lit(scale)) / F.lit(scale)
+    return F.when(r == 0, F.lit(0.0) * F.signum(_c(x))).otherwise(r)
 
 
 def cents(x: Column | str) -> Column:
