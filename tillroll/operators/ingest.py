@@ -26,6 +26,8 @@ from tillroll.session import stage as stage_table
 from tillroll.sources.schemas import RETAIL_LINE_COLUMNS
 
 KEY_COLUMNS = ("CustomerID", "Quantity", "UnitPrice", "InvoiceDate", "InvoiceNo", "StockCode")
+STAGED_COLUMNS = ("order_key", "StockCode", "customer_id", "order_date", "Quantity", "UnitPrice",
+                  "Description", "Country", "line_no")
 
 
 def require_columns(lines: DataFrame, required=RETAIL_LINE_COLUMNS) -> None:
@@ -172,7 +174,9 @@ def ingest_retail(lines: DataFrame, partitions: int | None = None, stage: bool =
     than recomputing the source.  Raises when no line survives cleaning.
     Tables are built on first access.
     """
-    work = clean_lines(lines)
+    # only what the four tables read: the raw invoice number, customer number and timestamp live on
+    # in order_key, customer_id and order_date
+    work = clean_lines(lines).select(*STAGED_COLUMNS)
     if stage:
         work = stage_table(work, "retail-lines")
     if work.limit(1).count() == 0:
