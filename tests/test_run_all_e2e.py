@@ -11,7 +11,8 @@ def test_run_all_small(spark):
     cfg = {"quality": {"null_rate_thresholds": {"customers.email": {"warn": 0.01, "fail": 0.03}},
                        "pk_uniqueness": ["orders.order_id"]},
            "metrics": {"eval_days": 90, "enabled": ["m_gmv_daily", "m_net_gmv_daily", "m_retention_cohort"]}}
-    res = run_all(spark, tpch.raw_tables(spark, "/root/testdata/sf0.001"), out, cfg, as_of="2001-08-15")
+    res = run_all(spark, tpch.raw_tables(spark, "/root/testdata/sf0.001"), out, cfg, as_of="2001-08-15",
+                  order_buckets=4)
     assert set(RELATIONS) <= set(res["tables"])
     from tillroll.plans.warehouse import build
     lazy = build(tpch.raw_tables(spark, "/root/testdata/sf0.001"))["fct_orders"]
@@ -48,3 +49,22 @@ def test_partitioned_fct_orders_prunes_by_date(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*order_date", plan)
     want = daily_series(built, Filters(start="2000-01-01", end="2000-01-31")).collect()
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, want))
+
+
+def test_bucketed_items_build_orders_without_an_item_shuffle(spark):
+    from tillroll.operators.marts import fct_orders
+    from tillroll.plans.warehouse import build
+    from tillroll.sources.sinks import materialize
+    out = tempfile.mkdtemp(prefix="tillroll-bucket-")
+    built = build(tpch.raw_tables(spark, "/root/testdata/sf0.001"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale
+    try:
+        stored = materialize(spark, built, out, ["fct_order_items"], bucket_by={"fct_order_items": (8, "order_id")})
+        facts = fct_orders(built["stg_orders"], stored["fct_order_items"])
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+        # only the staged orders are shuffled on order_id; the stored items are read in their buckets
+        assert plan.count("Exchange hashpartitioning(order_id") == 1
+        assert sorted(map(tuple, facts.collect())) == sorted(map(tuple, built["fct_orders"].collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
