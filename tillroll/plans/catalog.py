@@ -1,8 +1,11 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame over the whole supplied tables.
 
 Every entry builds the warehouse lazily from the supplied Parquet files and
-returns an unexecuted DataFrame; the matching DuckDB statement for each name
-lives in ``oracle.statements``.
+returns a DataFrame for the caller to execute.  A few entries write
+intermediate data while they are built (the ingest's staged lines and dense
+ids, the cohort cells, the CSV and stored-mart round trips), always into a
+fresh folder under the session's checkpoint folder.  The matching DuckDB
+statement for each name lives in ``oracle.statements``.
 """
 
 from __future__ import annotations
