@@ -10,6 +10,10 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# fixed values: category of an empty description, text standing for a missing one
+DEFAULT_CATEGORY = "General"
+MISSING_TEXT = "nan"
+
 # Python's whitespace: the characters str.strip() and str.split() treat as space,
 # derived from str.isspace (none lies above U+3000)
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
@@ -43,8 +47,8 @@ def derive_category(description: Column | str) -> Column:
     from both ends; empty -> ``General``; otherwise title-case it.  A missing
     description is treated as the text ``nan`` (so it becomes ``Nan``).
     """
-    text = strip(F.coalesce(_c(description).cast("string"), F.lit("nan")))
+    text = strip(F.coalesce(_c(description).cast("string"), F.lit(MISSING_TEXT)))
     token = F.regexp_extract(text, f"^([^{_WS}]+)", 1)
     # fixed value: the punctuation set stripped from the token's ends
     token = F.regexp_replace(token, r"^[.,;:\-_]+|[.,;:\-_]+$", "")
-    return F.when(token == "", F.lit("General")).otherwise(title_case(token))
+    return F.when(token == "", F.lit(DEFAULT_CATEGORY)).otherwise(title_case(token))

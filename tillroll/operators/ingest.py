@@ -25,6 +25,12 @@ from tillroll.functions.text import derive_category, strip
 from tillroll.session import stage as stage_table
 from tillroll.sources.schemas import RETAIL_LINE_COLUMNS
 
+# fixed values: text of a missing key, order-key separator, status of ingested orders, email format
+MISSING_TEXT = "nan"
+ORDER_KEY_SEPARATOR = "::"
+INGESTED_STATUS = "paid"
+EMAIL_FORMAT = "cust%07d@open-data.local"
+
 KEY_COLUMNS = ("CustomerID", "Quantity", "UnitPrice", "InvoiceDate", "InvoiceNo", "StockCode")
 STAGED_COLUMNS = ("order_key", "StockCode", "customer_id", "order_date", "Quantity", "UnitPrice",
                   "Description", "Country", "line_no")
@@ -38,7 +44,7 @@ def require_columns(lines: DataFrame, required=RETAIL_LINE_COLUMNS) -> None:
 
 def _text_key(c: Column) -> Column:
     # a missing key becomes the text 'nan', as the source's str conversion does
-    return strip(F.coalesce(c.cast("string"), F.lit("nan")))
+    return strip(F.coalesce(c.cast("string"), F.lit(MISSING_TEXT)))
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
@@ -64,7 +70,7 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     customer_id = F.col("CustomerID").cast("bigint")
     return w.select(
         "*", customer_id.alias("customer_id"), F.to_date("InvoiceDate").alias("order_date"),
-        F.concat_ws("::", F.col("InvoiceNo"), customer_id.cast("string")).alias("order_key"),
+        F.concat_ws(ORDER_KEY_SEPARATOR, F.col("InvoiceNo"), customer_id.cast("string")).alias("order_key"),
     )
 
 
@@ -144,7 +150,7 @@ class RetailTables(Mapping):
                    .agg(F.min("customer_id").alias("customer_id"), F.min("order_date").alias("order_date"),
                         F.sum(F.col("Quantity").cast("bigint") * price_cents).alias("_c")))
         return per_key.join(self.order_ids, "order_key").select(
-            "order_id", "customer_id", "order_date", F.lit("paid").alias("status"),
+            "order_id", "customer_id", "order_date", F.lit(INGESTED_STATUS).alias("status"),
             (F.col("_c") / F.lit(100.0)).alias("total_amount"))
 
     def _customers(self) -> DataFrame:
@@ -153,7 +159,7 @@ class RetailTables(Mapping):
                 .agg(F.min("order_date").alias("signup_date"),
                      F.min_by(F.when(known, F.col("Country")), F.when(known, F.col("line_no"))).alias("country"))
                 .select("customer_id", "signup_date", "country",
-                        F.format_string("cust%07d@open-data.local", F.col("customer_id")).alias("email")))
+                        F.format_string(EMAIL_FORMAT, F.col("customer_id")).alias("email")))
 
     def _products(self) -> DataFrame:
         first_day = self.work.select(F.min("order_date")).scalar()
