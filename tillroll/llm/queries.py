@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import minhash
+from tillroll.llm import minhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,7 +33,7 @@ WITH RECURSIVE words AS (
   FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-         ELSE list_transform(range(1, len(w) - 1), i -> array_to_string(w[i:i + 2], ' ')) END) AS s
+         ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
   FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
@@ -50,3 +50,25 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
+
+
+@query
+def op8_top_k(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+ORACLE["op8_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, unnest(e) AS a, generate_subscripts(e, 1) AS d FROM v WHERE vec_id % 50 = 0),
+c AS (SELECT vec_id, unnest(e) AS b, generate_subscripts(e, 1) AS d FROM v),
+s AS (SELECT query_id, vec_id, CAST(sum(a * b) AS BIGINT) AS score FROM q JOIN c USING (d)
+      WHERE query_id <> vec_id GROUP BY 1, 2)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
