@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import minhash, topk
+from tillroll.llm import minhash, packing, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,6 +17,12 @@ def query(fn):
     return fn
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer file lies; the operators take any path."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,3 +78,8 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
        vec_id, score
 FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+
+@query
+def op9_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
