@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import minhash, packing, topk
+from tillroll.llm import minhash, mixing, packing, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,3 +83,8 @@ FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec
 @query
 def op9_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op3_mixing(spark, sf_dir):
+    return mixing.taken_words(_table(spark, sf_dir, "documents"))
