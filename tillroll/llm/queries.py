@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import minhash, mixing, packing, topk
+from tillroll.llm import minhash, mixing, packing, pii, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -88,3 +89,9 @@ def op9_packing(spark, sf_dir):
 @query
 def op3_mixing(spark, sf_dir):
     return mixing.taken_words(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_pseudonyms(spark, sf_dir):
+    return pii.pseudonymised(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "pii", F.size("pii").cast("long").alias("n_values"))
