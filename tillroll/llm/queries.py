@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import minhash, mixing, packing, pii, topk
+from tillroll.llm import minhash, mixing, packing, pii, tokencount, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -95,3 +95,8 @@ def op3_mixing(spark, sf_dir):
 def op6_pseudonyms(spark, sf_dir):
     return pii.pseudonymised(_table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "pii", F.size("pii").cast("long").alias("n_values"))
+
+
+@query
+def op10_token_counts(spark, sf_dir):
+    return tokencount.document_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
