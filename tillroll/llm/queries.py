@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import minhash, mixing, packing, pii, tokencount, topk
+from tillroll.llm import minhash, mixing, packing, pii, quality, tokencount, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -100,3 +100,16 @@ def op6_pseudonyms(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return tokencount.document_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def quality_model(spark, sf_dir):
+    """The quality classifier, fitted on the labelled documents outside the held-out third."""
+    labels = _table(spark, sf_dir, "labels").where("crc32(string(doc_id)) % 3 <> 1")
+    return quality.train(_table(spark, sf_dir, "documents"), labels.select("doc_id", F.col("quality").alias("label")))
+
+
+@query
+def op5_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality_model(spark, sf_dir)).select(
+        "doc_id", F.expr("coalesce(crc32(string(doc_id)) % 3 = 1, false)").alias("held_out"), "score", "predicted")
