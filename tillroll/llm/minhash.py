@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.jobs import connected_components, drop_stage, write_stage
-from tillroll.llm.near import agreeing, bands_for, confirmed_links, sets_of_texts, signatures, star_links
+from tillroll.llm.near import agreeing, bands_for, confirmed_links, picked, signatures, star_links
 
 
 def one_text_per_id(docs: DataFrame) -> DataFrame:
@@ -45,12 +45,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
                           "classes")
     members = signed.select("id", "n_shingles", "digest").join(classes, "digest", "left") \
         .select("id", "n_shingles", F.coalesce("rep", "id").alias("rep"))
-    reps = write_stage(signed.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-                       .select("id", "signature", "keys"), "reps")
+    reps = write_stage(signed.select("id", "keys").join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+                       .select("id", "keys"), "reps")
     k, t = rows * bands, percent / 100
     floor = max(0.0, t - 8 * math.sqrt(t * (1 - t) / k))
-    links = write_stage(agreeing(star_links(reps.select("id", "keys")), reps, floor), "near")
-    exact = confirmed_links(links, lambda bitmap: sets_of_texts(items, shingle, bitmap), percent)
+    links = write_stage(agreeing(star_links(reps), signed, floor), "near")
+    exact = confirmed_links(links, lambda bitmap: picked(items, bitmap), signed.select("id", "n_shingles"), shingle, percent)
     comps = write_stage(connected_components(exact), "comps")
     drop_stage(spark, reps, links)
     found = (members.join(comps.withColumnRenamed("id", "rep"), "rep", "left")

@@ -7,8 +7,8 @@ for the passage operator.  Steps:
    over its shingles, folded into one key per band;
 2. keys held by more than one item link each holder to the most central holder (a star, never all
    pairs); links whose signatures agree far too little are dropped;
-3. the links' components are families.  The shingle sets of family members, and of no other item,
-   are built again from the texts (a fixed-size bitmap picks them in the scan);
+3. the links' components are families.  Only the texts of family members are shuffled (a fixed-size
+   bitmap picks them in the scan), and their shingle sets built again where they are compared;
 4. exact Jaccard similarity is decided on the full sets inside family blocks of bounded size, each
    block also against the family's centre; what a large family leaves apart from its centre is then
    compared with every other block, so no link between different texts is lost to a block border;
@@ -153,25 +153,27 @@ def exact_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, start: in
     return out
 
 
-def confirmed_links(links: DataFrame, fetch: Callable[[object], DataFrame], percent: int) -> DataFrame:
+def confirmed_links(links: DataFrame, fetch: Callable[[object], DataFrame], sizes: DataFrame, shingle: int,
+                    percent: int) -> DataFrame:
     """``(a, b)``: enough exact links to connect all that is linked within the families of ``links``.
 
-    ``fetch(bitmap)`` returns ``(id, shingles binary)`` for the items the bitmap may hold.
+    ``fetch(bitmap)`` returns ``(id, text)`` of the items the bitmap may hold; ``sizes`` holds
+    ``(id, n_shingles)``.  Texts are what travels: they are smaller than their sets, which each block
+    builds for itself.
     """
     spark = links.sparkSession
-    families = write_stage(connected_components(links).select("id", F.col("component").alias("family")), "families")
+    families = connected_components(links).select("id", F.col("component").alias("family"))
+    families = write_stage(families.join(sizes, "id"), "families")
     bitmap = id_filter(families.select("id"))
-    sets = write_stage(fetch(bitmap).join(families, "id"), "sets")
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     centre = families.join(degree, "id").groupBy("family").agg(
         F.max(F.struct("degree", (-F.col("id")).alias("back"))).alias("best"))
-    info = write_stage(sets.groupBy("family").agg(F.sum(F.octet_length("shingles") / 8).alias("total"))
-                       .join(centre, "family")
+    info = write_stage(families.groupBy("family").agg(F.sum("n_shingles").alias("total")).join(centre, "family")
                        .select("family", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("long").alias("blocks"),
                                (-F.col("best.back")).alias("centre")), "info")
-    block = F.pmod(F.xxhash64("id", F.lit(11)), F.col("blocks"))
-    members = write_stage(sets.join(info, "family").withColumn("block", block), "members")
-    drop_stage(spark, sets)
+    place = write_stage(families.join(info, "family").withColumn(
+        "block", F.pmod(F.xxhash64("id", F.lit(11)), F.col("blocks"))), "place")
+    members = write_stage(fetch(bitmap).join(place, "id"), "members")
     schema = "a long, b long"
 
     def out(found):
@@ -179,33 +181,33 @@ def confirmed_links(links: DataFrame, fetch: Callable[[object], DataFrame], perc
                                           pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
     def unpack(rows: pa.Table):
-        return (rows.column("id").to_numpy(), [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()])
+        codes, offsets, vocab = words(rows.column("text").combine_chunks())
+        return rows.column("id").to_numpy(), shingle_hashes(codes, offsets, hash_strings(vocab), shingle)
 
     def inside(_, rows):
-        ids, sets_ = unpack(rows)
+        ids, sets = unpack(rows)
         keep = np.unique(ids, return_index=True)[1]
-        yield from out(exact_links(ids[keep], [sets_[i] for i in keep], percent))
+        yield from out(exact_links(ids[keep], [sets[i] for i in keep], percent))
 
     centres = (members.where("id = centre and blocks > 1")
-               .select("family", "id", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
-    first = write_stage(by_group(members.select("family", "id", "shingles", "block").unionByName(centres),
+               .select("family", "id", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")))
+    first = write_stage(by_group(members.select("family", "id", "text", "block").unionByName(centres),
                                  ["family", "block"], inside, schema), "first")
 
     # what is still apart from its family's centre, against every other block of the family
     large = members.where("blocks > 1")
     joined = write_stage(connected_components(first), "joined")
     groups = (large.join(joined, "id", "left").select(
-        "family", "id", "shingles", "block", "blocks", "centre", F.coalesce("component", "id").alias("group")))
+        "family", "id", "text", "n_shingles", "block", "blocks", "centre", F.coalesce("component", "id").alias("group")))
     hub = (info.where("blocks > 1").join(joined.withColumnRenamed("id", "centre"), "centre", "left")
            .select("family", F.coalesce("component", "centre").alias("hub")))
     groups = write_stage(groups.join(hub, "family"), "groups")
     apart = groups.where("`group` <> hub")
-    waves = (apart.groupBy("family").agg(F.sum(F.octet_length("shingles") / 8).alias("n"))
-             .select("family", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("long").alias("waves")))
-    waves = write_stage(waves, "waves")
-    wave = F.pmod(F.xxhash64("id", F.lit(13)), F.col("waves"))
-    cols = ["family", "block", "wave", "later", "id", "group", "shingles"]
-    probes = (apart.join(waves, "family").withColumn("wave", wave)
+    waves = write_stage(apart.groupBy("family").agg(F.sum("n_shingles").alias("n")).select(
+        "family", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("long").alias("waves")), "waves")
+    cols = ["family", "block", "wave", "later", "id", "group", "text"]
+    probes = (apart.join(waves, "family")
+              .withColumn("wave", F.pmod(F.xxhash64("id", F.lit(13)), F.col("waves")))
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("later", F.lit(True)).select(*cols))
     targets = (groups.join(waves, "family")
@@ -213,32 +215,26 @@ def confirmed_links(links: DataFrame, fetch: Callable[[object], DataFrame], perc
                .withColumn("later", F.lit(False)).select(*cols))
 
     def across(_, rows):
-        ids, sets_ = unpack(rows)
+        ids, sets = unpack(rows)
         later = rows.column("later").to_numpy(zero_copy_only=False)
-        grp = rows.column("group").to_numpy()
-        inside_ = set(ids[~later].tolist())
-        order = [i for i in np.flatnonzero(~later)] + [i for i in np.flatnonzero(later) if ids[i] not in inside_]
-        yield from out(exact_links(ids[order], [sets_[i] for i in order], percent, start=len(inside_),
-                                   groups=grp[order]))
+        group = rows.column("group").to_numpy()
+        there = set(ids[~later].tolist())
+        order = [*np.flatnonzero(~later), *(i for i in np.flatnonzero(later) if ids[i] not in there)]
+        yield from out(exact_links(ids[order], [sets[i] for i in order], percent, start=len(there),
+                                   groups=group[order]))
 
     second = write_stage(by_group(probes.unionByName(targets), ["family", "block", "wave"], across, schema), "second")
-    drop_stage(spark, members, groups, joined, info, families, waves)
+    drop_stage(spark, members, groups, joined, info, families, waves, place)
     return first.unionByName(second)
 
 
-def sets_of_texts(items: DataFrame, shingle: int, bitmap) -> DataFrame:
-    """``(id, shingles)``: sorted 64-bit shingle hashes of the items whose id the bitmap may hold."""
+def picked(items: DataFrame, bitmap) -> DataFrame:
+    """The ``(id, text)`` rows whose id the bitmap may hold."""
     def run(batches):
         for batch in batches:
-            hit = maybe_in(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))
-            batch = batch.filter(pa.array(hit))
-            for part in chunks(batch):
-                codes, offsets, vocab = words(part.column(1))
-                found = shingle_hashes(codes, offsets, hash_strings(vocab), shingle)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "shingles"])
+            yield batch.filter(pa.array(maybe_in(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))))
 
-    return items.select("id", "text").mapInArrow(run, "id long, shingles binary")
+    return items.select("id", "text").mapInArrow(run, "id long, text string")
 
 
 def signatures(items: DataFrame, shingle: int, rows: int, bands: int, seed: int) -> DataFrame:
@@ -279,6 +275,13 @@ def agreeing(links: DataFrame, signs: DataFrame, least: float) -> DataFrame:
             hit = (x == y).mean(axis=1) >= least
             yield batch.select([0, 1]).filter(pa.array(hit))
 
-    x = signs.select(F.col("id").alias("a"), F.col("signature").alias("x"))
-    y = signs.select(F.col("id").alias("b"), F.col("signature").alias("y"))
+    bitmap = id_filter(links.select(F.explode(F.array("a", "b")).alias("id")))
+
+    def asked(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(maybe_in(bitmap.value, batch.column(0).to_numpy(zero_copy_only=False))))
+
+    held = write_stage(signs.select("id", "signature").mapInArrow(asked, "id long, signature binary"), "asked")
+    x = held.select(F.col("id").alias("a"), F.col("signature").alias("x"))
+    y = held.select(F.col("id").alias("b"), F.col("signature").alias("y"))
     return links.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
