@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import minhash, mixing, packing, pii, quality, tokencount, topk
+from tillroll.llm import lm, minhash, mixing, packing, pii, quality, tokencount, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +113,11 @@ def op5_quality(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return quality.scored(docs, quality_model(spark, sf_dir)).select(
         "doc_id", F.expr("coalesce(crc32(string(doc_id)) % 3 = 1, false)").alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_lm_scores(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.expr("coalesce(crc32(string(doc_id)) % 5 = 1, false)")
+    model, counts = lm.train(docs.where(~held_out))
+    return lm.scored(docs, model, counts).withColumn("held_out", held_out)
