@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import lm, minhash, mixing, packing, pii, quality, tokencount, topk
+from tillroll.llm import fingerprint, lm, minhash, mixing, packing, pii, quality, tokencount, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -121,3 +121,8 @@ def op2_lm_scores(spark, sf_dir):
     held_out = F.expr("coalesce(crc32(string(doc_id)) % 5 = 1, false)")
     model, counts = lm.train(docs.where(~held_out))
     return lm.scored(docs, model, counts).withColumn("held_out", held_out)
+
+
+@query
+def op4_fingerprints(spark, sf_dir):
+    return fingerprint.edited_fingerprints(_table(spark, sf_dir, "documents"))
