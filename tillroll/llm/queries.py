@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import fingerprint, lm, minhash, mixing, packing, pii, quality, tokencount, topk
+from tillroll.llm import fingerprint, lm, minhash, mixing, packing, passages, pii, quality, tokencount, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,8 @@ def op2_lm_scores(spark, sf_dir):
 @query
 def op4_fingerprints(spark, sf_dir):
     return fingerprint.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_repeated_passages(spark, sf_dir):
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
