@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.jobs import connected_components, drop_stage, write_stage
@@ -61,3 +61,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
             .select(F.col("id").alias("doc_id"), "n_shingles", F.col("id").alias("component_id"),
                     F.lit(True).alias("kept")))
     return found.unionByName(lost)
+
+
+def deduplicated(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` without the rows that ``near_duplicates`` does not keep; all columns stay.
+
+    Of rows that repeat a doc_id the one with the smallest text stays; rows without a doc_id all stay.
+    """
+    spark = docs.sparkSession
+    removed = write_stage(near_duplicates(docs, **settings).where("not kept").select("doc_id"), "removed")
+    left = docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
+    repeated = left.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return left
+    repeated = write_stage(repeated, "repeated")
+    first = Window.partitionBy("doc_id").orderBy(F.asc_nulls_last("text"))
+    single = (left.join(repeated, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+              .withColumn("_n", F.row_number().over(first)).where("_n = 1").select("_row.*"))
+    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(single)
