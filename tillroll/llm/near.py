@@ -195,6 +195,8 @@ def confirmed_links(links: DataFrame, fetch: Callable[[object], DataFrame], size
                                  ["family", "block"], inside, schema), "first")
 
     # what is still apart from its family's centre, against every other block of the family
+    if info.where("blocks > 1").isEmpty():
+        return first
     large = members.where("blocks > 1")
     joined = write_stage(connected_components(first), "joined")
     groups = (large.join(joined, "id", "left").select(
