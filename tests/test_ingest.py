@@ -62,5 +62,20 @@ def test_ingest_tables(spark):
 
 def test_ingest_rejects_when_nothing_usable(spark):
     rows = [("A", "S", "d", "-1", "2020-01-01", "1.0", "1", "UK", 1)]
+    for name in ("customers", "products", "orders", "order_items"):
+        with pytest.raises(ValueError):
+            ingest_retail(spark.createDataFrame(rows, COLS))[name]
     with pytest.raises(ValueError):
-        ingest_retail(spark.createDataFrame(rows, COLS))
+        ingest_retail(spark.createDataFrame(rows, COLS), stage=False)
+
+
+def test_staged_folders_go_with_their_owner(spark):
+    import os
+    with ingest_retail(_lines(spark), partitions=3) as t:
+        t["customers"].collect()
+        assert "work" not in t.__dict__  # customers alone don't stage the lines
+        t["orders"].collect()
+        t["products"].collect()
+        folders = {f.rsplit("/", 1)[0].removeprefix("file://") for df in t._folders for f in df.inputFiles()}
+        assert len(folders) == 4 and all(map(os.path.isdir, folders))
+    assert not any(map(os.path.isdir, folders))

@@ -7,31 +7,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_BINARY = (T.FloatType, T.DoubleType)
+
+# plain decimal numbers, as text that a number parser of the ingest takes (no type suffixes, no hexadecimal)
+NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+# date texts tried in this order after ISO text; month before day where both could be meant
+TIMESTAMP_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "d MMM yyyy H:mm", "d MMM yyyy", "d MMMM yyyy",
+                     "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d",
+                     "d.M.yyyy H:mm", "d.M.yyyy")
 
 
 def cast_integral(df: DataFrame, name: str, target: str) -> Column:
     """CAST(col AS INTEGER/BIGINT) the way the SQL models do it.
 
-    Integral inputs cast directly.  Fractional or text inputs are rounded half
-    away from zero first (3.5 -> 4, '2.5' -> 3) instead of Spark's truncation,
-    and unparsable text still raises under ANSI mode, as in the models.
+    Integral inputs cast directly.  FLOAT and DOUBLE round ties to even (2.5 -> 2), DECIMAL and text
+    away from zero ('2.5' -> 3), instead of Spark's truncation; text that is no number raises.
     """
     dtype = df.schema[name].dataType
     col = F.col(name)
     if isinstance(dtype, _INTEGRAL):
         return col.cast(target)
+    if isinstance(dtype, _BINARY):
+        return F.bround(col).cast(target)
     if isinstance(dtype, T.StringType):
-        col = F.trim(col).cast("decimal(38,10)")
+        col = strict(F.trim(col), "decimal(38,10)", name)
     return F.round(col).cast(target)
 
 
+def strict(col: Column, target: str, what: str) -> Column:
+    """Cast text, NULL staying NULL; text that doesn't parse raises whatever the session's ANSI setting."""
+    cast = col.try_cast(target)
+    bad = F.raise_error(F.concat(F.lit(f"{what}: no {target}: "), col))
+    return F.when(col.isNotNull() & cast.isNull(), bad.cast(target)).otherwise(cast)
+
+
 def try_number(col: Column | str) -> Column:
-    """Coerce to DOUBLE; anything unparsable becomes NULL (pandas ``to_numeric(errors='coerce')``)."""
+    """Coerce to DOUBLE; anything that is no plain number becomes NULL."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast("double")
+    text = F.trim(c.cast("string"))
+    return F.when(F.typeof(c) != "string", c.try_cast("double")).when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
 def try_timestamp(col: Column | str) -> Column:
-    """Coerce to a zone-less TIMESTAMP_NTZ; unparsable becomes NULL."""
+    """Coerce to a zone-less TIMESTAMP_NTZ: ISO text, then TIMESTAMP_FORMATS; anything else becomes NULL.
+
+    Eight digits are a date (yyyyMMdd), not a year.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast("timestamp_ntz")
+    text = F.trim(c.cast("string"))
+    formats = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS]
+    parsed = F.coalesce(F.when(~text.rlike(r"^\d+$"), text.try_cast("timestamp_ntz")), *formats)
+    return F.when(F.typeof(c) != "string", c.try_cast("timestamp_ntz")).otherwise(parsed)

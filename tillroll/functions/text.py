@@ -20,6 +20,10 @@ PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 _WS = "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE)  # as a regex character-class body
 
 
+# letters that have case: the regex class body
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
+
+
 def strip(x: Column | str) -> Column:
     """Python ``str.strip()``: remove Python whitespace at both ends (no regex).
 
@@ -29,13 +33,13 @@ def strip(x: Column | str) -> Column:
 
 
 def title_case(x: Column | str) -> Column:
-    """Python ``str.title()``: upper-case the first letter of every run of letters,
+    """Python ``str.title()``: upper-case the first letter of every run of cased letters,
     lower-case the rest (``popcorn-holder`` -> ``Popcorn-Holder``).
 
-    The text is split into alternating letter / non-letter runs and ``initcap``
-    is applied per run, so characters after a digit or punctuation start a new word.
+    The text is split into runs of cased and other characters and ``initcap`` is applied per run, so
+    letters after a digit, punctuation or a letter without case start a new word.
     """
-    runs = F.regexp_extract_all(_c(x), F.lit(r"(\p{L}+|\P{L}+)"), 1)
+    runs = F.regexp_extract_all(_c(x), F.lit(rf"([{_CASED}]+|[^{_CASED}]+)"), 1)
     return F.array_join(F.transform(runs, lambda r: F.initcap(r)), "")
 
 

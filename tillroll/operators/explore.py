@@ -98,8 +98,11 @@ def orders_in_scope(t: Tables, f: Filters, statuses: Sequence[str] = (PAID,),
                     category_exists: bool = True) -> DataFrame:
     """Order-level predicates of the filter (status, date range, category EXISTS), before the customer join."""
     fo = t["fct_orders"]
-    lo, hi = f.date_range(_order_dates(t))
-    o = fo.where(F.col("order_status").isin(list(statuses)) & F.col("order_date").between(lo, hi))
+    if f.start is None and f.end is None and tuple(statuses) == (PAID,):
+        dated = F.col("order_date").isNotNull()  # any dated paid order lies between the first and the last one
+    else:
+        dated = F.col("order_date").between(*f.date_range(_order_dates(t)))
+    o = fo.where(F.col("order_status").isin(list(statuses)) & dated)
     if category_exists and f.categories:
         o = o.join(orders_with_categories(t, f.categories), "order_id", "left_semi")
     return o
@@ -117,18 +120,18 @@ def _series(t: Tables, f: Filters, statuses: Sequence[str], amount: Column) -> D
             .agg(F.sum("_a").alias("_c"), F.count(F.lit(1)).alias("_n")))
 
 
-def daily_series(t: Tables, f: Filters = Filters()) -> DataFrame:
-    """Paid orders in scope per day: ``metric_date, gmv, orders``."""
+def daily_series(t: Tables, f: Filters = Filters(), ordered: bool = True) -> DataFrame:
+    """Paid orders in scope per day: ``metric_date, gmv, orders``; ``ordered`` sorts for display."""
     s = _series(t, f, (PAID,), cents("order_amount_from_items"))
-    return (s.select("metric_date", from_cents("_c").alias("gmv"), F.col("_n").alias("orders"))
-            .orderBy(F.col("metric_date").asc_nulls_last()))
+    s = s.select("metric_date", from_cents("_c").alias("gmv"), F.col("_n").alias("orders"))
+    return s.orderBy(F.col("metric_date").asc_nulls_last()) if ordered else s
 
 
-def net_series(t: Tables, f: Filters = Filters()) -> DataFrame:
-    """Paid minus refunded per day: ``metric_date, net_gmv``."""
+def net_series(t: Tables, f: Filters = Filters(), ordered: bool = True) -> DataFrame:
+    """Paid minus refunded per day: ``metric_date, net_gmv``; ``ordered`` sorts for display."""
     s = _series(t, f, (PAID, REFUNDED), signed_cents(F.col("order_status"), F.col("order_amount_from_items")))
-    return (s.select("metric_date", from_cents("_c").alias("net_gmv"))
-            .orderBy(F.col("metric_date").asc_nulls_last()))
+    s = s.select("metric_date", from_cents("_c").alias("net_gmv"))
+    return s.orderBy(F.col("metric_date").asc_nulls_last()) if ordered else s
 
 
 def top_categories(t: Tables, f: Filters = Filters(), k: int = 10) -> DataFrame:
@@ -224,12 +227,15 @@ def with_moving_average(series: DataFrame, values: Sequence[str] = ("gmv", "orde
 def cohort_matrix(retention: DataFrame) -> DataFrame:
     """Cohort x month_n matrix of retention rates; ``cohort_size`` first; empty cells stay NULL.
 
+    Cells without a month (orders without a date) have no column and are left out.
+
     The retention cells (cohorts x months, a calendar-bounded set) are written
     once to the shared checkpoint folder; the distinct month offsets are read
     from them to fix the pivot schema, and the pivot reads them again instead
     of recomputing the cohorts.
     """
-    cells = stage(retention.select("cohort_month", "cohort_size", "month_n", "retention_rate"), "cohorts")
+    cells = stage(retention.select("cohort_month", "cohort_size", "month_n", "retention_rate")
+                  .where(F.col("month_n").isNotNull()), "cohorts")
     months = [r[0] for r in cells.select("month_n").distinct().orderBy("month_n").collect()]
     return (cells.groupBy("cohort_month", "cohort_size")
             .pivot("month_n", months)

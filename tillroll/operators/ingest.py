@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.casts import try_number, try_timestamp
 from tillroll.functions.text import derive_category, strip
 from tillroll.session import stage as stage_table
+from tillroll.session import unstage
 from tillroll.sources.schemas import RETAIL_LINE_COLUMNS
 
 # fixed values: text of a missing key, order-key separator, status of ingested orders, email format
@@ -39,7 +40,7 @@ STAGED_COLUMNS = ("order_key", "StockCode", "customer_id", "order_date", "Quanti
 def require_columns(lines: DataFrame, required=RETAIL_LINE_COLUMNS) -> None:
     missing = sorted(set(required) - set(lines.columns))
     if missing:
-        raise ValueError(f"Open dataset missing columns: {missing}")
+        raise ValueError(f"the open dataset lacks the columns {missing}")
 
 
 def _text_key(c: Column) -> Column:
@@ -74,7 +75,8 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def dense_ids(df: DataFrame, key: str, id_col: str, partitions: int | None = None) -> DataFrame:
+def dense_ids(df: DataFrame, key: str, id_col: str, partitions: int | None = None,
+              folders: list[DataFrame] | None = None) -> DataFrame:
     """``(key, id_col)``: the distinct non-NULL keys numbered 1..n in ascending order.
 
     Distinct keys are range-partitioned and sorted inside each partition, so a
@@ -82,7 +84,8 @@ def dense_ids(df: DataFrame, key: str, id_col: str, partitions: int | None = Non
     The partition number and position are stored with each key (Parquet in the
     shared checkpoint folder), so the counts and the positions come from one
     materialisation even if executors are lost.  The offsets table has one row
-    per partition, which is what makes its broadcast safe.
+    per partition, which is what makes its broadcast safe.  The stored frame is
+    added to ``folders``, whose owner deletes it.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -91,6 +94,8 @@ def dense_ids(df: DataFrame, key: str, id_col: str, partitions: int | None = Non
         .repartitionByRange(n, key).sortWithinPartitions(key)
         .select(key, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m")),
         "dense-ids")
+    if folders is not None:
+        folders.append(ranged)
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
                .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
@@ -106,15 +111,31 @@ def unit_price_2dp(x: Column) -> Column:
 class RetailTables(Mapping):
     """The four raw tables of an ingest, each built when first asked for.
 
-    Orders and items need the order ids, items and products the product ids;
-    each dense-id table is computed (and staged) at most once, and only
-    when a table that needs it is requested.
+    Orders and items need the order ids, items and products the product ids; each dense-id table is
+    computed (and staged) at most once.  The cleaned lines are staged once, by the first table that reads
+    them more than once; customers alone are a single aggregate over the source.  ``close`` (or leaving
+    a ``with`` block) deletes the staged folders, so do it when the tables have been written.
     """
 
     NAMES = ("customers", "products", "orders", "order_items")
 
-    def __init__(self, work: DataFrame, partitions: int | None = None):
-        self.work, self.partitions, self._built = work, partitions, {}
+    def __init__(self, lines: DataFrame, partitions: int | None = None, staged: bool = True):
+        self.lines, self.partitions, self.staged = lines, partitions, staged
+        self._built: dict[str, DataFrame] = {}
+        self._folders: list[DataFrame] = []
+
+    def __enter__(self) -> RetailTables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        unstage(*self._folders)
+        self._folders.clear()
+        self._built.clear()
+        for name in ("work", "order_ids", "product_ids"):
+            self.__dict__.pop(name, None)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.NAMES:
@@ -129,13 +150,25 @@ class RetailTables(Mapping):
     def __len__(self) -> int:
         return len(self.NAMES)
 
+    def _keep(self, df: DataFrame, label: str) -> DataFrame:
+        df = stage_table(df, label)
+        self._folders.append(df)
+        if df.isEmpty():
+            raise ValueError("no line of the open dataset is usable")
+        return df
+
+    @cached_property
+    def work(self) -> DataFrame:
+        """The cleaned lines, staged."""
+        return self._keep(self.lines, "retail-lines") if self.staged else self.lines
+
     @cached_property
     def order_ids(self) -> DataFrame:
-        return dense_ids(self.work, "order_key", "order_id", self.partitions)
+        return dense_ids(self.work, "order_key", "order_id", self.partitions, self._folders)
 
     @cached_property
     def product_ids(self) -> DataFrame:
-        return dense_ids(self.work, "StockCode", "product_id", self.partitions)
+        return dense_ids(self.work, "StockCode", "product_id", self.partitions, self._folders)
 
     def _order_items(self) -> DataFrame:
         return (self.work.join(self.order_ids, "order_key").join(self.product_ids, "StockCode")
@@ -154,12 +187,15 @@ class RetailTables(Mapping):
             (F.col("_c") / F.lit(100.0)).alias("total_amount"))
 
     def _customers(self) -> DataFrame:
+        # one aggregate: the lines are staged only if another table has done so
+        lines = self.__dict__.get("work", self.lines)
         known = F.col("Country").isNotNull()
-        return (self.work.groupBy("customer_id")
-                .agg(F.min("order_date").alias("signup_date"),
-                     F.min_by(F.when(known, F.col("Country")), F.when(known, F.col("line_no"))).alias("country"))
-                .select("customer_id", "signup_date", "country",
-                        F.format_string(EMAIL_FORMAT, F.col("customer_id")).alias("email")))
+        out = (lines.groupBy("customer_id")
+               .agg(F.min("order_date").alias("signup_date"),
+                    F.min_by(F.when(known, F.col("Country")), F.when(known, F.col("line_no"))).alias("country"))
+               .select("customer_id", "signup_date", "country",
+                       F.format_string(EMAIL_FORMAT, F.col("customer_id")).alias("email")))
+        return self._keep(out, "retail-customers") if self.staged else out
 
     def _products(self) -> DataFrame:
         first_day = self.work.select(F.min("order_date")).scalar()
@@ -174,17 +210,13 @@ def ingest_retail(lines: DataFrame, partitions: int | None = None, stage: bool =
     """Flat invoice lines -> ``customers``, ``products``, ``orders``, ``order_items`` (raw layout).
 
     With ``stage`` (default) the cleaned lines are written once as Parquet in
-    the shared checkpoint folder: the id tables and the four outputs all read
-    them, so the source (often CSV, or a join) is parsed once instead of once
-    per derived table, and a lost executor re-reads the staged lines rather
-    than recomputing the source.  Raises when no line survives cleaning.
-    Tables are built on first access.
+    the shared checkpoint folder when a table needs them more than once, so the source (often CSV, or a
+    join) is parsed once and a lost executor re-reads the staged lines.  Without a usable line the
+    first table asked for raises.  Tables are built on first access; ``close`` them when done.
     """
     # only what the four tables read: the raw invoice number, customer number and timestamp live on
     # in order_key, customer_id and order_date
     work = clean_lines(lines).select(*STAGED_COLUMNS)
-    if stage:
-        work = stage_table(work, "retail-lines")
-    if work.limit(1).count() == 0:
-        raise ValueError("Open dataset has no usable rows after filtering.")
-    return RetailTables(work, partitions)
+    if not stage and work.isEmpty():
+        raise ValueError("no line of the open dataset is usable")
+    return RetailTables(work, partitions, stage)

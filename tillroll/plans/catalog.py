@@ -16,16 +16,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import contract as C
 from tillroll.operators import explore as X
 from tillroll.operators import ingest as I
 from tillroll.operators import metrics as M
 from tillroll.operators import quality as Q
+from tillroll.operators.staging import stage as stage_raw
+from tillroll.operators.staging import stg_order_items
 from tillroll.plans.warehouse import warehouse_from_testdata
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import tpch
-from tillroll.sources.raw import read_raw, row_counts
-from tillroll.sources.sinks import materialize, write_table
+from tillroll.sources.raw import CSV_OPTIONS, read_raw, row_counts
+from tillroll.sources.sinks import export_relations, materialize, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,22 +123,22 @@ def top_categories_filtered(spark, sf_dir):
 
 @query
 def kpi_windows(spark, sf_dir):
-    return X.kpi_windows(X.daily_series(_wh(spark, sf_dir)))
+    return X.kpi_windows(X.daily_series(_wh(spark, sf_dir), ordered=False))
 
 
 @query
 def net_gmv_30d(spark, sf_dir):
-    return X.net_gmv_window(X.net_series(_wh(spark, sf_dir)), 30)
+    return X.net_gmv_window(X.net_series(_wh(spark, sf_dir), ordered=False), 30)
 
 
 @query
 def daily_ma7(spark, sf_dir):
-    return X.with_moving_average(X.daily_series(_wh(spark, sf_dir)))
+    return X.with_moving_average(X.daily_series(_wh(spark, sf_dir), ordered=False))
 
 
 @query
 def cohort_matrix(spark, sf_dir):
-    return X.cohort_matrix(M.m_retention_cohort(_wh(spark, sf_dir)["fct_orders"], rate_digits=None))
+    return X.cohort_matrix(M.m_retention_cohort(_wh(spark, sf_dir)["fct_orders"], rate_digits=None, ordered=False))
 
 
 @query
@@ -167,7 +168,7 @@ def metrics_manifest(spark, sf_dir):
     return M.manifest(results)
 
 
-# --- quality and contract ------------------------------------------------------------------
+# --- quality ------------------------------------------------------------------
 
 
 # the default integrity rules plus the reverse rule "every order has item lines"
@@ -208,11 +209,6 @@ def dq_referential_integrity(spark, sf_dir):
     return _render(Q.check_referential_integrity(_wh(spark, sf_dir), RI_RULES))
 
 
-@query
-def dq_schema_existence(spark, sf_dir):
-    return _render(Q.check_schema_existence(_wh(spark, sf_dir)))
-
-
 def _report(spark, sf_dir):
     return Q.run_quality(_wh(spark, sf_dir), QUALITY_CONFIG, AS_OF)
 
@@ -238,8 +234,26 @@ def dq_warned(spark, sf_dir):
 
 
 @query
-def contract_validation(spark, sf_dir):
-    return C.validate_contract(_wh(spark, sf_dir), C.SCHEMA_V1)
+def user_sql_metric(spark, sf_dir):
+    """A user's SQL metric over two relations of the warehouse, run by the metric runner."""
+    sql = ("SELECT c.country, count(*) AS orders, count(DISTINCT o.customer_id) AS customers "
+           "FROM fct_orders o JOIN dim_customers c ON o.customer_id = c.customer_id GROUP BY c.country")
+    return M.run_metrics(_wh(spark, sf_dir), enabled=["by_country"], extra={"by_country": sql})["by_country"]
+
+
+@query
+def m_retention_null_dates(spark, sf_dir):
+    """Retention where a seventh of the orders, and all orders of some customers, have no date."""
+    fo = _wh(spark, sf_dir)["fct_orders"]
+    blank = (F.col("order_id") % 7 == 0) | (F.col("customer_id") % 5 == 0)
+    return M.m_retention_cohort(fo.withColumn("order_date", F.when(~blank, F.col("order_date"))))
+
+
+@query
+def stg_half_quantities(spark, sf_dir):
+    """Staged items whose quantity is half of the supplied one, as DOUBLE: ties everywhere."""
+    raw = tpch.raw_order_items(spark, sf_dir)
+    return stg_order_items(raw.withColumn("quantity", F.col("quantity") / 2))
 
 
 # --- open retail ingest ----------------------------------------------------------------------
@@ -254,6 +268,25 @@ def retail_clean_lines(spark, sf_dir):
     return I.clean_lines(tpch.retail_lines(spark, sf_dir)).select(*CLEAN_COLUMNS)
 
 
+@query
+def retail_text_lines(spark, sf_dir):
+    """Invoice lines as text: four date writings, numbers with decimals and exponents, and lines that must drop."""
+    lines = tpch.retail_lines(spark, sf_dir)
+    k = (F.col("InvoiceNo").cast("bigint") * 7 + F.col("StockCode").cast("bigint")) % 12
+    day = F.col("InvoiceDate").cast("date")
+    when = (F.when(k == 11, F.lit("no date")).when(k % 4 == 0, F.date_format(day, "yyyy-MM-dd"))
+            .when(k % 4 == 1, F.date_format(day, "M/d/yyyy' 8:26'")).when(k % 4 == 2, F.date_format(day, "yyyyMMdd"))
+            .otherwise(F.date_format(day, "d MMM yyyy")))
+    whole = F.col("Quantity").cast("bigint").cast("string")
+    quantity = F.when(k == 5, F.lit("-3")).when(k == 6, F.lit("0x1p3")).when(k == 7, F.lit("2f")).otherwise(whole)
+    cents = F.round(F.col("UnitPrice") * 100).cast("bigint").cast("string")
+    price = F.when(k == 8, F.lit("1d")).otherwise(F.concat(F.lit(" +"), cents, F.lit("e-2 ")))
+    customer = F.when(k == 10, F.lit("abc")).when(k != 9, F.concat(F.col("CustomerID").cast("bigint").cast("string"), F.lit(".0")))
+    text = lines.withColumns({"InvoiceDate": when, "Quantity": quantity, "UnitPrice": price, "CustomerID": customer})
+    return I.clean_lines(text).select("InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice", "customer_id",
+                                      "order_date", "order_key")
+
+
 @query
 def retail_order_ids(spark, sf_dir):
     return I.dense_ids(I.clean_lines(tpch.retail_lines(spark, sf_dir)), "order_key", "order_id")
@@ -283,14 +316,51 @@ def _scratch(spark) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tillroll-{uuid.uuid4().hex}"
 
 
+def _awkward(raw):
+    """The raw tables with quotes, commas, blanks and decimal-looking whole numbers in their values."""
+    out = dict(raw)
+    odd = F.col("customer_id") % 3
+    out["customers"] = raw["customers"].select(
+        F.concat(F.col("customer_id").cast("string"), F.lit(".0")).alias("customer_id"), "signup_date",
+        F.when(odd == 0, F.concat(F.lit(' the "'), F.col("country"), F.lit('", north '))).otherwise(F.col("country")).alias("country"),
+        F.when(odd == 1, F.concat(F.lit('"'), F.col("email"), F.lit('", x@Y.z'))).otherwise(F.col("email")).alias("email"))
+    out["products"] = raw["products"].withColumn("category", F.concat(F.lit('  "'), F.col("category"), F.lit(', "" a,b  ')))
+    out["order_items"] = raw["order_items"].withColumn("quantity", F.concat(F.col("quantity").cast("string"), F.lit(".00")))
+    return out
+
+
+def _csv_raw(spark, sf_dir):
+    root = _scratch(spark)
+    for name, df in _awkward(tpch.raw_tables(spark, sf_dir)).items():
+        write_table(df, f"{root}/{name}.csv", "csv")
+    return read_raw(spark, root, "csv")
+
+
 @query
 def raw_csv_row_counts(spark, sf_dir):
     """Raw tables written as CSV with header, then loaded with the declared schemas."""
+    return row_counts(_csv_raw(spark, sf_dir))
+
+
+def _csv_staged(name: str) -> Query:
+    def q(spark, sf_dir):
+        return stage_raw(_csv_raw(spark, sf_dir))["stg_" + name]
+    q.__name__ = "csv_stg_" + name
+    return q
+
+
+for _name in ("customers", "products", "orders", "order_items"):
+    query(_csv_staged(_name))
+
+
+@query
+def export_roundtrip(spark, sf_dir):
+    """Customers with awkward texts, exported as CSV and read again by any RFC 4180 reader's rules."""
+    raw = _awkward(tpch.raw_tables(spark, sf_dir))["customers"].select(
+        F.col("customer_id").alias("id"), F.col("country").alias("label"), F.col("email").alias("note"))
     root = _scratch(spark)
-    raw = tpch.raw_tables(spark, sf_dir)
-    for name, df in raw.items():
-        write_table(df, f"{root}/{name}.csv", "csv")
-    return row_counts(read_raw(spark, root, "csv"))
+    export_relations({"out_customers": raw}, root, ("out_",))
+    return spark.read.options(**CSV_OPTIONS).schema("id string, label string, note string").csv(f"{root}/out_customers")
 
 
 @query

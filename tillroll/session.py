@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,7 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return configured
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if sc is None or not sc.master.startswith("local"):
+    # one process on one machine (local, local[...]): everything else has executors of its own
+    if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     folder = tempfile.mkdtemp(prefix="tillroll-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
@@ -73,7 +75,7 @@ def stage(df, label: str = "stage"):
     This cuts the lineage like ``checkpoint()`` but keeps the data columnar:
     later readers get column pruning and filter pushdown, and a lost executor
     re-reads files instead of recomputing the plan.  Each call writes a fresh
-    folder, so concurrent runs never share one.
+    folder, so concurrent runs never share one; ``unstage`` deletes it.
     """
     import uuid
 
@@ -81,4 +83,16 @@ def stage(df, label: str = "stage"):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tillroll-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(*frames) -> None:
+    """Delete the folders of staged frames once nothing reads them any more."""
+    for df in frames:
+        spark = df.sparkSession
+        root = ensure_checkpoint_dir(spark).rstrip("/").split(":", 1)[-1].lstrip("/")
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/tillroll-" in folder and folder.split(":", 1)[-1].lstrip("/").startswith(root):
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)

@@ -6,27 +6,47 @@ import os
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillroll.functions.casts import strict
 from tillroll.sources.schemas import RAW_SCHEMAS, RAW_TABLES
 
 
-def read_raw(spark: SparkSession, raw_dir: str, fmt: str = "csv") -> dict[str, DataFrame]:
+# RFC 4180: quotes are doubled inside quoted values; a row that doesn't fit the header raises
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
+def _typed(field: T.StructField) -> Column:
+    """A CSV text as its declared type; bad text raises, integral numbers may be written with decimals."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return c
+    text = F.trim(c)
+    if isinstance(field.dataType, T.IntegralType):
+        return F.bround(strict(text, "decimal(38,10)", field.name)).cast(field.dataType).alias(field.name)
+    return strict(text, field.dataType.simpleString(), field.name).alias(field.name)
+
+
+def read_raw(spark: SparkSession, raw_dir: str, fmt: str = "csv", multiline: bool = False) -> dict[str, DataFrame]:
     """Load ``customers``, ``products``, ``orders``, ``order_items`` from ``raw_dir``.
 
-    CSV files carry a header and are read with the declared schema (no
-    inference pass over the data).  Every file is checked before any is read,
-    so a missing table fails the whole load up front.
+    CSV files carry a header; their columns are taken by name, as text, and cast to the declared types:
+    nothing but an empty value turns into NULL.  ``multiline`` allows line breaks inside quoted values;
+    a file is then read by one task, so leave it off for files without them (a break then raises).
+    Every file is checked before any is read, so a missing table fails the whole load up front.
     """
     ext = {"csv": ".csv", "parquet": ".parquet"}[fmt]
     out, missing = {}, []
     for t in RAW_TABLES:
         path = os.path.join(raw_dir, t + ext)
-        reader = spark.read.schema(RAW_SCHEMAS[t])
         try:
-            # defining the source resolves the path (no data is read yet)
-            out[t] = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+            if fmt == "csv":  # resolves the path and reads the header line
+                text = spark.read.options(**CSV_OPTIONS).option("multiLine", multiline).csv(path)
+                out[t] = text.select([_typed(f) for f in RAW_SCHEMAS[t].fields])
+            else:
+                out[t] = spark.read.schema(RAW_SCHEMAS[t]).parquet(path)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise

@@ -7,13 +7,17 @@ summary rows a caller asks for.
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
+
+
+# values come back as they were: quotes doubled, outer blanks kept
+CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+             "ignoreTrailingWhiteSpace": False}
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Iterable[str] = ()) -> str:
@@ -22,14 +26,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: It
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(**CSV_WRITE)
     w.save(path)
     return path
 
 
 def materialize(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
                 names: Iterable[str], partition_by: Mapping[str, Iterable[str]] | None = None,
-                bucket_by: Mapping[str, tuple[int, str]] | None = None) -> dict[str, DataFrame]:
+                bucket_by: Mapping[str, tuple[int, str]] | None = None,
+                table_prefix: str = "tillroll") -> dict[str, DataFrame]:
     """Write the named relations as Parquet under ``root`` and return them re-read.
 
     Later steps then read the stored tables instead of recomputing the whole
@@ -50,14 +55,17 @@ def materialize(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
         path = os.path.join(root, name)
         if bucket_by and name in bucket_by:
             n, key = bucket_by[name]
-            table = f"tillroll_{run}_{name}"
+            table = f"{table_prefix}_{name}"
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
             w = tables[name].repartition(n, key).write.mode("overwrite").format("parquet")
             if keys:
                 w = w.partitionBy(*keys)
             w.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
             out[name] = spark.table(table).select(*tables[name].columns)
         else:
-            write_table(tables[name], path, partition_by=keys)
+            # rebalance splits a hot key over tasks by size and merges small ones
+            df = tables[name].hint("rebalance", *[F.col(k) for k in keys]) if keys else tables[name]
+            write_table(df, path, partition_by=keys)
             out[name] = spark.read.parquet(path).select(*tables[name].columns)
     return out
 
@@ -73,13 +81,13 @@ def list_relations(spark: SparkSession, tables: Mapping[str, DataFrame] | None =
 
 def export_relations(tables: Mapping[str, DataFrame], out_dir: str, prefixes: Iterable[str],
                      fmt: str = "csv") -> list[str]:
-    """Export every relation whose name starts with one of ``prefixes`` (CSV with header by default)."""
+    """Export every relation whose name starts with one of ``prefixes`` (CSV with header by default).
+
+    Relations are the given tables and the catalog's tables and views; a given table wins over one of its name.
+    """
     spark = next(iter(tables.values())).sparkSession
-    paths = []
-    for name in list_relations(spark, tables, prefixes):
-        if name in tables:
-            paths.append(write_table(tables[name], os.path.join(out_dir, name), fmt))
-    return paths
+    return [write_table(tables[n] if n in tables else spark.table(n), os.path.join(out_dir, n), fmt)
+            for n in list_relations(spark, tables, prefixes)]
 
 
 def write_metric(df: DataFrame, out_dir: str, name: str) -> dict[str, str]:
@@ -122,8 +130,7 @@ def write_checks(checks: DataFrame, out_dir: str, generated_at: str) -> dict:
     counts = {r["status"]: int(r["count"]) for r in summarize(kept).collect()}  # a handful of statuses
     kept.unpersist()
     summary_df = checks.sparkSession.createDataFrame(
-        [(generated_at, json.dumps(counts, sort_keys=True))],
-        T.StructType([T.StructField("generated_at", T.StringType()), T.StructField("summary", T.StringType())]))
+        [(generated_at, dict(sorted(counts.items())))], "generated_at string, summary map<string,long>")
     summary_path = os.path.join(out_dir, "summary.json")
     summary_df.coalesce(1).write.mode("overwrite").json(summary_path)
     return {"checks": checks_path, "summary": summary_path, "counts": counts}
