@@ -95,3 +95,11 @@ def test_run_all_stores_raw_once_and_takes_user_metrics_checks_and_relations(spa
     assert spark.read.json(os.path.join(out, "quality/checks.json")).where("check_type = 'mine'").count() == 1
     assert spark.read.option("header", True).csv(os.path.join(out, "marts/fct_of_user")).count() == 3
     assert res["metrics"] == ["m_gmv_daily", "mine"]
+
+
+def test_daily_facts_give_the_daily_metrics(spark, warehouse):
+    from tillroll.operators import metrics as M
+    fo = warehouse["fct_orders"].selectExpr("* except (customer_id, order_date)", "if(customer_id % 9 = 0, NULL, customer_id) AS customer_id",
+                                            "if(order_id % 11 = 0, NULL, order_date) AS order_date")
+    for name, fn in M.FROM_DAILY_FACTS.items():
+        assert fn(M.daily_facts(fo)).collect() == M.METRICS[name](fo).collect(), name

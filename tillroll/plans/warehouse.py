@@ -65,8 +65,10 @@ def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config
     import os
 
     from tillroll.operators.contract import SCHEMA_V1, validate_contract
-    from tillroll.operators.metrics import run_metrics
+    from tillroll.operators.metrics import daily_facts, run_metrics
     from tillroll.operators.quality import EXAMPLE_CONFIG, run_quality
+    from tillroll.session import stage as stage_table
+    from tillroll.session import unstage
     from tillroll.sources.sinks import export_relations, materialize, write_checks, write_metrics
 
     cfg = config or {"quality": EXAMPLE_CONFIG, "metrics": {}}
@@ -85,9 +87,11 @@ def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config
     export_relations(tables, os.path.join(out_dir, "marts"), ("dim_", "fct_"))
 
     mcfg = cfg.get("metrics", {}) or {}
+    daily = stage_table(daily_facts(tables["fct_orders"]), "daily")  # one row per day feeds all daily metrics
     results = run_metrics(tables, mcfg.get("enabled"), mcfg.get("disabled"), mcfg.get("eval_days"), as_of,
-                          extra_metrics)
+                          extra_metrics, daily)
     manifest = write_metrics(results, os.path.join(out_dir, "metrics"))
+    unstage(daily)
 
     checks = run_quality(tables, cfg.get("quality", {}), as_of, extra_checks)
     today = (as_of if isinstance(as_of, str) else (as_of or _dt.date.today()).isoformat())
