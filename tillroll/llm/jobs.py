@@ -53,6 +53,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     spark = edges.sparkSession
     cur = write_stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .distinct(), "edges")
+    if cur.isEmpty():
+        return cur.select(F.col("a").alias("id"), F.col("b").alias("component"))
     before = None
     for _ in range(max_rounds):
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
