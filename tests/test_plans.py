@@ -100,3 +100,10 @@ def test_no_range_sort_below_windows_and_no_extra_pass_for_dates(spark, name):
         assert ranges <= (1 if name == "daily_ma7" else 0)
     if name != "net_gmv_30d":
         assert "Subquery" not in plan or "o_orderdate" not in plan.split("Subquery", 1)[1].split("lo#")[0]
+
+
+def test_entry_imports_without_a_session():
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as e; from pyspark import SparkContext as c; assert c._active_spark_context is None; e.queries()"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=entry._ROOT)

@@ -1,4 +1,4 @@
-"""Plan shape of every registered query as it would run at scale (no automatic broadcasts).
+"""Plan shape of every warehouse query as it would run at scale (no automatic broadcasts).
 
 usage: python tools/plan_shapes.py [sf_dir]  -> a markdown table on stdout
 
@@ -16,7 +16,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from tillroll.plans.catalog import QUERIES  # noqa: E402
 from tillroll.session import get_spark  # noqa: E402
 
 
@@ -44,7 +44,7 @@ def main() -> None:
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     print("| query | hash shuffles | shuffle keys | reused | single-partition | range | broadcast | scans | windows |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, q in sorted(queries().items()):
+    for name, q in sorted(QUERIES.items()):
         s = shape(q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
         keys = ", ".join(f"{k}×{n}" if n > 1 else k for k, n in sorted(s["keys"].items()))
         print(f"| {name} | {s['hash']} | {keys} | {s['reused']} | {s['single']} | {s['range']} | "
