@@ -22,7 +22,7 @@ def one_text_per_id(docs: DataFrame) -> DataFrame:
         write_stage(rows.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "single"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = 5,
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = 4,
                     miss: float = 1e-6, seed: int = 7) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per doc_id.
 
