@@ -18,7 +18,7 @@ from tillroll.llm.words import chunks
 # length bins of the pattern fit: patterns are enumerated over bins, so their number stays fixed
 BINS = 256
 # pieces of one length that are numbered together
-RANK_ROWS = 1_024
+RANK_ROWS = 512
 # text handled at once; a text's ids take about as many bytes as the text
 TOKEN_CHUNK = 8 << 20
 
