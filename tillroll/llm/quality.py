@@ -17,6 +17,8 @@ from tillroll.llm.words import chunks, hash_strings, mix64, words
 FEATURE_BITS = 18
 # labelled rows of each class that the linear model is fitted on (the log-count ratios use all of them)
 SAMPLE_PER_CLASS = 2_000
+# text handled at once; a text's feature arrays take many times its bytes
+FEATURE_CHUNK = 1 << 20
 _LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
 
 
@@ -160,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS, co
     def count(batches):
         pos, neg, n = np.zeros(size, np.int64), np.zeros(size, np.int64), [0, 0]
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, limit=FEATURE_CHUNK):
                 for f, y in zip(features(part.column(1)), part.column(2).to_pylist()):
                     (pos if y else neg)[f] += 1
                     n[y] += 1
@@ -185,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS, co
     for label in (0, 1):
         def numbers(batches):
             for batch in batches:
-                for part in chunks(batch):
+                for part in chunks(batch, limit=FEATURE_CHUNK):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([f.astype(np.int32) for f in features(part.column(0))], pa.list_(pa.int32()))],
                         names=["f"])
@@ -213,7 +215,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     @F.pandas_udf("double")
     def work(texts):
         out = []
-        for part in chunks(pa.RecordBatch.from_arrays([pa.array(texts, pa.string(), from_pandas=True)], names=["text"])):
+        rows = pa.RecordBatch.from_arrays([pa.array(texts, pa.string(), from_pandas=True)], names=["text"])
+        for part in chunks(rows, limit=FEATURE_CHUNK):
             out.append(shared.value.scores(features(part.column(0))))
         import pandas as pd
         return pd.Series(np.concatenate(out) if out else np.zeros(0))

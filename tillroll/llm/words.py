@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # bytes of text handled at once inside a task; bounds the temporary arrays, not the result
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
