@@ -93,8 +93,8 @@ def star_links(keys: DataFrame) -> DataFrame:
     held = write_stage(rows.join(shared, "key").distinct(), "held")
     weight = write_stage(held.groupBy("id").agg(F.sum("holders").alias("weight")), "weight")
     central = write_stage(held.join(weight, "id").groupBy("key").agg(
-        F.max(F.struct("weight", (-F.col("id")).alias("back"))).alias("best"))
-        .select("key", (-F.col("best.back")).alias("centre")), "central")
+        F.max(F.struct("weight", F.bitwise_not("id").alias("back"))).alias("best"))  # ties: the smallest id
+        .select("key", F.bitwise_not("best.back").alias("centre")), "central")
     links = write_stage(held.join(central, "key").where("id <> centre")
                         .select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct(), "links")
     drop_stage(spark, shared, held, weight, central)
@@ -167,10 +167,10 @@ def confirmed_links(links: DataFrame, fetch: Callable[[object], DataFrame], size
     bitmap = id_filter(families.select("id"))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     centre = families.join(degree, "id").groupBy("family").agg(
-        F.max(F.struct("degree", (-F.col("id")).alias("back"))).alias("best"))
+        F.max(F.struct("degree", F.bitwise_not("id").alias("back"))).alias("best"))
     info = write_stage(families.groupBy("family").agg(F.sum("n_shingles").alias("total")).join(centre, "family")
                        .select("family", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("long").alias("blocks"),
-                               (-F.col("best.back")).alias("centre")), "info")
+                               F.bitwise_not("best.back").alias("centre")), "info")
     place = write_stage(families.join(info, "family").withColumn(
         "block", F.pmod(F.xxhash64("id", F.lit(11)), F.col("blocks"))), "place")
     members = write_stage(fetch(bitmap).join(place, "id"), "members")
