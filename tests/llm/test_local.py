@@ -186,3 +186,16 @@ def test_suffix_class_agrees_with_spark(spark):
         "word", F.pmod(F.crc32(F.encode(F.right("word", F.lit(2)), "UTF-8")), F.lit(128)).alias("k")).collect()
     assert {r.word: r.k for r in rows} == {w: lm.suffix_class(w, 128) for w in names}
     assert zlib.crc32(b"a") % 128 == lm.suffix_class("a", 128)
+
+
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("ab é.!? \n\t\x0b日")), max_size=40)), max_size=6))
+@settings(max_examples=80, deadline=None)
+def test_units_over_bytes_equal_units_of_each_text(texts):
+    from tillroll.llm import passages
+    u = passages.split_units(pa.array(texts, pa.string()))
+    want = [(i, j, a, b) for i, t in enumerate(texts) for j, (a, b) in enumerate(passages.units(t or ""))]
+    assert list(zip(u.row.tolist(), u.part.tolist(), u.start.tolist(), u.end.tolist())) == want
+    assert u.text.to_pylist() == [texts[i][a:b] for i, _, a, b in want]
+    seq = [tuple(t.split()) for t in u.text.to_pylist()]
+    ids = u.ids().tolist()
+    assert len(set(ids)) == len(set(seq)) and all((x == y) == (p == q) for x, p in zip(ids, seq) for y, q in zip(ids, seq))
