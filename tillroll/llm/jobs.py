@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.llm.words import give_back
 from tillroll.session import ensure_checkpoint_dir
 
 
@@ -146,5 +147,6 @@ def by_group(df: DataFrame, keys: list[str], fn: Callable[[tuple, pa.Table], Ite
                     start = i
         if held:
             yield from fn(at, pa.Table.from_batches(held))
+        give_back()
 
     return (df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).mapInArrow(run, schema))

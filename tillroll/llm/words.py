@@ -6,6 +6,7 @@ lower-cased.  Everything here works on one Arrow batch inside a Spark task.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,10 +14,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim
+except (OSError, AttributeError):  # another C library
+    _LIBC = None
+
 # bytes of text handled at once inside a task; bounds the temporary arrays, not the result
 CHUNK_BYTES = 2 << 20
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks and stages, next to the executor."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch cut into row ranges of about ``limit`` bytes of text (a longer text stays whole)."""
     col = batch.column(batch.schema.get_field_index(column))
@@ -28,6 +42,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    give_back()
 
 
 def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
