@@ -178,9 +178,12 @@ def train(texts: DataFrame, settings: Settings | None = None) -> tuple[Model, Da
 
     counts = write_stage(texts.select("text").mapInArrow(tally, "word string, c long")
                          .groupBy("word").agg(F.sum("c").alias("c")), "counts")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"),
+                       F.sum(F.when(F.col("word") == END, F.col("c"))).alias("ends")).first()
     top = counts.orderBy(F.desc("c"), "word").limit(s.common).toArrow()
     common = dict(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
+    if total["ends"] is not None:  # travels even where there are too few texts for it to be common
+        common[END] = total["ends"]
     first = s.classes - s.suffix_classes
     own = [w for w in list(common) if w != END][:first - 1]
     word_class = {END: 0} | {w: i for i, w in enumerate(own, 1)}
