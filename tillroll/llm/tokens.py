@@ -57,26 +57,35 @@ class WordIds:
             out += ids
         return out
 
-    def _learn(self, fresh: list[str]) -> None:
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known, self.parts = {}, {"": b""}
+    def _ids(self, fresh: list[str]) -> list[bytes]:
+        """Ids of each word, in order."""
+        if len(self.parts) > CACHE_WORDS:
+            self.parts = {"": b""}
         got = [self._plain(w) for w in fresh] if self.short else [None] * len(fresh)
         full = [i for i, g in enumerate(got) if g is None]
         for i, ids in zip(full, self._whole([fresh[i] for i in full])):
             got[i] = ids
-        self.known.update(zip(fresh, got))
+        return got
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): text i has ``ids[bounds[i]:bounds[i + 1]]``; a null text has none."""
+        """(ids, bounds): text i has ``ids[bounds[i]:bounds[i + 1]]``; a null text has none.
+
+        Any number of distinct words may come at once: their ids are held for this call, and the cache
+        keeps as many as it has room for.
+        """
         codes, offsets, vocab = words(texts, lower=False)
         names = vocab.to_pylist()
-        known = self.known
-        fresh = [w for w in names if w not in known]
-        if fresh:
-            self._learn(fresh)
-            if self.known is not known:  # the cache began anew: words known before are learnt again
-                self._learn([w for w in names if w not in self.known])
-        held = pa.array([self.known[w] for w in names], pa.large_binary())
+        got = [self.known.get(w) for w in names]
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        if missing:
+            fresh = [names[i] for i in missing]
+            learnt = self._ids(fresh)
+            for i, ids in zip(missing, learnt):
+                got[i] = ids
+            if len(self.known) + len(fresh) > CACHE_WORDS:  # no room: the cache begins anew
+                self.known = {}
+            self.known.update(zip(fresh[:CACHE_WORDS], learnt))
+        held = pa.array(got, pa.large_binary())
         row = held.take(pa.array(codes))
         ends = np.frombuffer(row.buffers()[1], np.int64, len(codes) + 1, 8 * row.offset) if len(codes) else np.zeros(1, np.int64)
         ids = np.frombuffer(row.buffers()[2], "<u4", ends[-1] // 4) if len(codes) and ends[-1] else np.zeros(0, "<u4")
