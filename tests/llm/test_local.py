@@ -16,6 +16,12 @@ from tillroll.llm.queries import tokenizer_path
 from tillroll.llm.tokens import word_ids
 from tillroll.llm.words import chunks, words
 
+KEY = b"a key of the tests"
+
+
+def replaced(text):
+    return pii.replaced(text, KEY)
+
 
 @given(st.lists(st.one_of(st.none(), st.text(max_size=60)), max_size=8))
 @settings(max_examples=60, deadline=None)
@@ -113,12 +119,12 @@ def test_feistel_is_a_permutation_without_fixed_points(n, key):
     ("1984-02-29", "date"), ("31.12.1999", "date"), ("12 March 1990", "date"), ("Mar 5, 2001", "date"),
     ("DE89 3704 0044 0532 0130 00", "iban"), ("b44e15e09fd311c3cf3163b66d5a9875b883d8ce", "secret"), ("123456789", "number")])
 def test_pseudonyms_keep_their_format_and_stay_linked(value, kind):
-    one, found = pii.replaced(f"a {value}, b")
-    two, _ = pii.replaced(f"{value}!! and more of it; {value}")
+    one, found = replaced(f"a {value}, b")
+    two, _ = replaced(f"{value}!! and more of it; {value}")
     assert [(k, s, n) for k, s, n, _ in found] == [(kind, 2, len(value))]
     new = found[0][3]
     assert new != value and one == f"a {new}, b" and two == f"{new}!! and more of it; {new}"
-    again = [k for k, *_ in pii.find(new)]
+    again = [k for k, *_ in pii.find(new, KEY)]
     assert again == [kind]
     if kind == "card" and pii.luhn_digit("411111111111111") == "1" and value.startswith("4111"):
         digits = new.replace(" ", "")
@@ -127,7 +133,7 @@ def test_pseudonyms_keep_their_format_and_stay_linked(value, kind):
 
 @pytest.mark.parametrize("text", ["version 2.0.", "CC BY-NC 4.0", "2023-02-30", "300.1.1.1", "", "no values", "1999", "000-12-3456"])
 def test_texts_without_valid_values_stay(text):
-    assert pii.replaced(text) == (text, [])
+    assert replaced(text) == (text, [])
 
 
 def test_dual_coordinate_descent_meets_the_optimality_conditions():
@@ -199,3 +205,52 @@ def test_units_over_bytes_equal_units_of_each_text(texts):
     seq = [tuple(t.split()) for t in u.text.to_pylist()]
     ids = u.ids().tolist()
     assert len(set(ids)) == len(set(seq)) and all((x == y) == (p == q) for x, p in zip(ids, seq) for y, q in zip(ids, seq))
+
+
+def longest_same(a, b):
+    best = run = 0
+    for x, y in zip(a, b):
+        run = run + 1 if x == y else 0
+        best = max(best, run)
+    return best
+
+
+@pytest.mark.parametrize("n", [500, 512, 1024, 10_000])
+def test_long_values_change_everywhere(n):
+    rng = random.Random(n)
+    secret = "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    mail = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(n))
+    for value, kind in ((secret, "secret"), (mail + "@example.org", "email")):
+        one, found = replaced(f"see {value} there")
+        assert [k for k, *_ in found] == [kind] and len(one) == len(f"see {value} there")
+        own = one[4:4 + n]
+        assert longest_same(own, value[:n]) <= 8  # a chance below 1e-5 for the longest
+        assert replaced(f"see {value} there")[0] == one
+        flipped = value[:n - 1] + ("0" if value[n - 1] != "0" else "1") + value[n:] if kind == "secret" else "z" + value[1:]
+        if flipped != value:
+            assert longest_same(replaced(f"see {flipped} there")[0][4:4 + n], own) <= 8
+
+
+@pytest.mark.parametrize("size", [10 ** 300 + 7, 16 ** 700, 26 ** 900])
+def test_large_permutations_turn_back(size):
+    f = pii.Feistel(size, b"key", "t")
+    rng = random.Random(1)
+    for x in [0, 1, size - 1, *(rng.randrange(size) for _ in range(5))]:
+        assert f.encrypt(x) != x and f.decrypt(f.encrypt(x)) == x
+
+
+def test_mixed_radix_places_by_halves():
+    rng = random.Random(2)
+    for n in (1, 31, 33, 700):
+        sizes = [rng.choice([10, 26, 31]) for _ in range(n)]
+        values = [rng.randrange(s) for s in sizes]
+        x, total = pii._mixed(values, sizes)
+        want = 0
+        for v, s in zip(values, sizes):
+            want = want * s + v
+        assert x == want and total == __import__("math").prod(sizes) and pii._places(x, sizes) == values
+
+
+def test_pseudonyms_need_a_key():
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymised(None, b"")

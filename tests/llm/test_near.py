@@ -86,10 +86,28 @@ def test_null_ids_repeats_and_clashing_columns(spark):
         [(1, "a b c d e f", 7), (1, "a b c d e f", 8), (2, "a b c d e f", 9), (None, "a b c d e f", 1), (None, None, 1), (3, None, 2)],
         "doc_id long, text string, id long").withColumnRenamed("id", "component_id")
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()), key=str)
-    assert got == [(1, 1, True), (2, 1, False), (3, 3, True), (None, None, True), (None, None, True)]
+    assert got == [(1, 1, False), (1, 1, True), (2, 1, False), (3, 3, True), (None, 1, False), (None, None, True)]
     left = minhash.deduplicated(df)
     assert left.columns == df.columns
-    assert sorted((r.doc_id for r in left.collect()), key=str) == [1, 3, None, None]
+    assert sorted((r.doc_id for r in left.collect()), key=str) == [1, 3, None]
+
+
+def test_different_texts_under_one_id(spark):
+    """Rows are compared and go one by one, whatever their doc_id."""
+    one, two = ("alpha beta gamma delta epsilon zeta " * 3 + x for x in "ab")
+    texts = [(1, "one " + one), (2, "one " + one), (2, "two " * 9 + two[20:]), (3, "three " * 7), (3, "four five six seven eight nine ten")]
+    df = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(texts)], "doc_id long, text string, _row int")
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()) == [
+        (1, 1, True), (2, 1, False), (2, 2, True), (3, 3, True), (3, 3, True)]
+    left = minhash.deduplicated(df)
+    assert left.columns == df.columns and sorted(r._row for r in left.collect()) == [0, 2, 3, 4]
+    # a near copy under an id with other texts, before and after them
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words), " ".join([*words[:59], "other"])]
+    for d in (0, 9):
+        rows = [(5, "own text of the document here", 0), (5, near[0], 1), (5, "another text of its own kind", 2), (d, near[1], 3)]
+        kept = {r.i for r in minhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, i int")).collect()}
+        assert kept == {0, 2, 3 if d == 0 else 1}
 
 
 def test_empty_table(spark):

@@ -212,7 +212,7 @@ def test_pseudonyms_over_a_table(spark, empty):
     df = spark.createDataFrame([(1, "mail a.b1@x.org, a.b1@x.org"), (2, "A.B1@X.ORG and a.b1@x.org"), (2, None), (None, "none"),
                                 (3, ""), (4, "x" * 100_000 + " 4111111111111111")], "doc_id long, text string").withColumn(
         "pii", F.lit(1)).withColumn("kind", F.lit("k"))
-    out = pii.pseudonymised(df)
+    out = pii.pseudonymised(df, b"key")
     assert out.columns == ["doc_id", "text", "kind", "pii"]
     rows = out.collect()
     one = next(r for r in rows if r.doc_id == 1)
@@ -222,7 +222,7 @@ def test_pseudonyms_over_a_table(spark, empty):
     assert two.endswith(new) and two.split(" ")[0].lower().split("@")[0] == new.split("@")[0]
     assert sorted(len(r.pii) for r in rows) == [0, 0, 0, 1, 2, 2]
     assert [r.text for r in rows if r.doc_id is None] == ["none"] and len(rows) == 6
-    assert pii.pseudonymised(empty).collect() == []
+    assert pii.pseudonymised(empty, b"key").collect() == []
 
 
 # --- quality --------------------------------------------------------------------------------------
@@ -316,3 +316,38 @@ def test_top_k_equals_sorting(spark, monkeypatch, block):
         want |= {(q, r, i, -v) for r, (v, i) in enumerate(s[:5], 1)}
     assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in got} == want and len(got) == len(want)
     assert topk.top_k(df.where("false"), df.where("false")).collect() == []
+
+
+def test_stored_fingerprints_subtract(spark):
+    """Two stored fingerprints give back what only one text holds, and the likeness of the digests."""
+    texts = {1: ["alpha beta", "gamma", "delta"], 2: ["alpha beta", "gamma", "epsilon"], 3: [], 4: [f"line {i}" for i in range(900)]}
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in texts.items()], "id long, text string")
+    digests = df.select("id", fingerprint.paragraph_digests(F.col("text")).alias("digests"))
+    stored = {r.id: r.fingerprint for r in fingerprint.fingerprints(digests, ["id"]).collect()}
+    own = {r.id: set(r.digests) for r in digests.collect()}
+    pairs = spark.createDataFrame([(a, b, stored[a], stored[b]) for a in texts for b in texts], "a long, b long, x string, y string")
+    for r in fingerprint.difference(pairs, ["a", "b"], "x", "y").collect():
+        if r.whole:
+            assert (set(r.plus), set(r.minus)) == (own[r.a] - own[r.b], own[r.b] - own[r.a])
+        else:
+            assert 4 in (r.a, r.b)
+        assert r.whole or r.a != r.b
+    with pytest.raises(Exception, match="no fingerprint"):
+        fingerprint.decoded(spark.createDataFrame([("text",)], "fingerprint string"), []).collect()
+
+
+def test_counts_above_four_digits_are_stored_whole(spark):
+    value = spark.createDataFrame([(70_000,), (15,), (-1,)], "n long")
+    assert [r[0] for r in value.select(fingerprint._hex(F.col("n"), 4)).collect()] == ["11170", "000f", "f" * 16]
+    many = spark.range(300_000).select(F.lit(1).alias("id"), F.collect_list(F.xxhash64("id")).over(
+        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy()).alias("digests")).limit(1)
+    stored = fingerprint.fingerprints(many, ["id"])
+    back = fingerprint.decoded(stored, ["id"]).where("cell >= 0").agg(F.sum("cnt"), F.count("*")).first()
+    assert tuple(back) == (900_000, 48)
+
+
+def test_fingerprints_of_rows_that_share_an_id(spark):
+    rows = [(7, "first text"), (7, "second text here"), (7, None), (3, "third")]
+    got = fingerprint.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in got) == [(3, 5), (7, 0), (7, 10), (7, 16)]
+    assert len({r.fingerprint for r in got}) == 4 and all(r.near_next is not None for r in got)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.jobs import drop_stage, write_stage
-from tillroll.llm.minhash import one_text_per_id
+from tillroll.llm.minhash import numbered
 
 # cells per table of the stored fingerprint
 BASE_CELLS = 16
@@ -71,13 +71,20 @@ def peel(cells: DataFrame, keys: list[str], level: int = 0, steps: int = STEPS)
 
 
 def _hex(value: Column, digits: int) -> Column:
-    return F.lpad(F.lower(F.hex(value)), digits, "0")
+    """Hexadecimal text of at least so many digits."""
+    text = F.lower(F.hex(value))
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))
+
+
+def _number(text: Column) -> Column:
+    return F.conv(text, 16, -10).cast("long")
 
 
 def fingerprints(digests: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, fingerprint)``: the base sketch of ``digests (keys, digests array)`` as text.
 
-    The text lists the non-empty cells in order: cell, count, digests and checks, in hexadecimal.
+    The text lists the non-empty cells in order, in hexadecimal: the cell (2 digits), its count (4 or
+    more), digests (16) and checks (16).  ``decoded`` reads it back.
     """
     rows = digests.select(*keys, F.lit(BASE_CELLS).cast("long").alias("w"), F.lit(1).cast("long").alias("sign"),
                           F.explode_outer("digests").alias("digest"))
@@ -86,6 +93,41 @@ def fingerprints(digests: DataFrame, keys: list[str]) -> DataFrame:
             .select(*keys, F.concat(F.lit(f"iblt{BASE_CELLS}:"), F.array_join("c", ".")).alias("fingerprint")))
 
 
+def decoded(stored: DataFrame, keys: list[str], column: str = "fingerprint", sign: int = 1) -> DataFrame:
+    """Cells ``(keys, w, cell, cnt, key, chk)`` of stored fingerprints, one row per non-empty cell.
+
+    A fingerprint without cells gives its key's mark alone; counts are multiplied by ``sign``.  Null
+    fingerprints give no rows; text that is no fingerprint raises.
+    """
+    text = F.when(F.col(column).rlike(r"^iblt\d+:([0-9a-f]{38,}(\.[0-9a-f]{38,})*)?$"), F.col(column)).otherwise(
+        F.raise_error(F.concat(F.lit("no fingerprint: "), F.col(column))))
+    listed = F.filter(F.split(F.substring_index("_text", ":", -1), r"\."), lambda c: c != "")
+    n = F.length("_cell")
+    cell = F.when(F.col("_cell") == "", F.lit(_MARK)).otherwise(_number(F.substring("_cell", 1, 2)).cast("int"))
+    number = lambda start, size: F.when(F.col("_cell") == "", 0).otherwise(
+        _number(F.substring(F.col("_cell"), start, size))).cast("long")
+    return (stored.where(F.col(column).isNotNull()).select(*keys, text.alias("_text"))
+            .select(*keys, F.regexp_extract("_text", r"^iblt(\d+):", 1).cast("long").alias("w"),
+                    F.explode(F.concat(F.array(F.lit("")), listed)).alias("_cell"))
+            .select(*keys, "w", cell.alias("cell"), (number(F.lit(3), n - 34) * sign).alias("cnt"),
+                    number(n - 31, F.lit(16)).alias("key"), number(n - 15, F.lit(16)).alias("chk")))
+
+
+def difference(stored: DataFrame, keys: list[str], a: str, b: str) -> DataFrame:
+    """``(keys, plus, minus, whole)`` of two stored fingerprints a row: the digests only one text has.
+
+    The sketches are subtracted cell by cell and peeled.  ``whole`` is false where cells stay locked: the
+    texts differ by more than a base sketch can tell, and what is listed is part of the difference.
+    """
+    cells = decoded(stored, keys, a).unionByName(decoded(stored, keys, b, -1))
+    left = (cells.groupBy(*keys, "w", "cell").agg(F.sum("cnt").alias("cnt"), F.bit_xor("key").alias("key"), F.bit_xor("chk").alias("chk"))
+            .where("cell < 0 or cnt <> 0 or key <> 0 or chk <> 0"))
+    got = lambda side: F.sort_array(F.collect_list(
+        F.when((F.col("cell") == _RECOVERED) & (F.col("cnt") == side), F.col("key"))))
+    return peel(left, keys).groupBy(*keys).agg(got(1).alias("plus"), got(-1).alias("minus"),
+                                               (F.count_if(F.col("cell") >= 0) == 0).alias("whole"))
+
+
 def likeness(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, plus, minus, near)`` of ``pairs (keys, a array, b array)``: differing digests and Jaccard likeness.
 
@@ -130,21 +172,22 @@ def likeness(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def neighbours(items: DataFrame) -> DataFrame:
-    """``(id, n_chars, for_id, for_need)`` of ``items (id, text)``: the document that each one lends to.
+    """``(id, n_chars, for_id, for_need)`` of ``items (id, doc_id, text)``: the document that each one lends to.
 
-    Documents stand in descending id, the last is followed by the first; the one before borrows the
+    Documents stand in descending doc_id (then row number), the last is followed by the first; the one before borrows the
     first third of its own length.  Ids are dealt by ranges, ordered within each range, and the ranges'
     ends (one row per range) joined up.
     """
-    small = items.select("id", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n_chars"))
-    dealt = write_stage(small.repartitionByRange(F.desc("id")).withColumn("range", F.spark_partition_id()), "ranges")
-    ends = dealt.groupBy("range").agg(F.min(F.struct("id", "n_chars")).alias("low"))
+    down = [F.desc("doc_id"), F.desc("id")]
+    small = items.select("id", "doc_id", F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n_chars"))
+    dealt = write_stage(small.repartitionByRange(*down).withColumn("range", F.spark_partition_id()), "ranges")
+    ends = dealt.groupBy("range").agg(F.min(F.struct("doc_id", "id", "n_chars")).alias("low"))
     over = Window.orderBy("range")
     wrap = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = ends.select("range", F.coalesce(F.lag("low").over(over), F.min("low").over(wrap)).alias("above"))
-    inside = Window.partitionBy("range").orderBy(F.desc("id"))
+    inside = Window.partitionBy("range").orderBy(*down)
     return write_stage(
-        dealt.withColumn("before", F.lag(F.struct("id", "n_chars")).over(inside))
+        dealt.withColumn("before", F.lag(F.struct("doc_id", "id", "n_chars")).over(inside))
         .join(F.broadcast(ends), "range")  # one row per range partition
         .withColumn("before", F.coalesce("before", "above"))
         .select("id", "n_chars", F.col("before.id").alias("for_id"),
@@ -152,23 +195,24 @@ def neighbours(items: DataFrame) -> DataFrame:
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` per doc_id.
+    """``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)`` per row.
 
     The edited text replaces the last floor(n_chars / 3) characters by as many (or all) first
     characters of the next document in descending doc_id.  Null texts are empty; a lone document is its
-    own next.  A repeated doc_id gives one row, by its smallest text.  Rows without a doc_id have no
-    place in the order: they come back with their own fingerprint and null for all that needs a
-    neighbour.  Other columns are ignored; an empty table gives no rows.
+    own next.  Rows that share a doc_id are documents of their own and stand next to each other in the
+    order they were read in.  Rows without a doc_id have no place in the order: they come back with their
+    own fingerprint and null for all that needs a neighbour.  Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    items = one_text_per_id(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    rows, name, _ = numbered(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    items = rows.select(F.col(name).alias("id"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     order = neighbours(items)
-    placed = items.join(order, "id")
+    placed = items.select("id", "doc_id", "text").join(order, "id")
     lent = placed.select(F.col("for_id").alias("id"), F.expr("substring(text, 1, for_need)").alias("borrowed"),
                          paragraph_digests(F.col("text")).alias("next"))
     edited = F.concat(F.expr("substring(text, 1, int(n_chars - floor(n_chars / 3)))"), F.col("borrowed"))
-    rows = (placed.select("id", "n_chars", "text").join(lent, "id").withColumn("edited", edited)
-            .select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+    rows = (placed.select("id", "doc_id", "n_chars", "text").join(lent, "id").withColumn("edited", edited)
+            .select("id", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                     paragraph_digests(F.col("text")).alias("own"), paragraph_digests(F.col("edited")).alias("changed"), "next"))
     rows = write_stage(rows, "paragraphs")
     pairs = rows.select("id", F.explode(F.array(F.struct(F.lit("edited").alias("pair"), F.col("changed").alias("b")),
@@ -183,8 +227,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     both = fingerprints(versions, ["id", "version"]).groupBy("id").agg(
         F.max(F.when(F.col("version") == "own", F.col("fingerprint"))).alias("fingerprint"),
         F.max(F.when(F.col("version") == "edited", F.col("fingerprint"))).alias("edited_fingerprint"))
-    found = rows.select("id", "n_chars", "edited_sha256").join(near, "id").join(both, "id").select(
-        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    found = rows.select("id", "doc_id", "n_chars", "edited_sha256").join(near, "id").join(both, "id").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
     lost = docs.where("doc_id is null").select(F.monotonically_increasing_id().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     lost = lost.select("row", F.char_length("text").cast("long").alias("n_chars"), paragraph_digests(F.col("text")).alias("digests"))
     return found.unionByName(fingerprints(lost, ["row", "n_chars"]).select(

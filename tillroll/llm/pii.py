@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 import hashlib
+import math
 import re
 from collections.abc import Callable, Iterator
 from datetime import date
@@ -13,7 +14,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_KEY = b"tillroll-pseudonyms"
 ROUNDS = 8
 # characters around a digit or @ that are scanned, before widening to white space
 REACH = 48
@@ -36,9 +36,13 @@ class Feistel:
         self.mask = (1 << self.half) - 1
 
     def _round(self, i: int, x: int) -> int:
-        h = hashlib.blake2b(x.to_bytes(-(-self.half // 8), "little") + self.tag, key=self.key,
-                            salt=i.to_bytes(16, "little"), digest_size=max(8, min(64, -(-self.half // 8))))
-        return int.from_bytes(h.digest(), "little") & self.mask
+        size = -(-self.half // 8)
+        h = hashlib.blake2b(x.to_bytes(size, "little") + self.tag, key=self.key,
+                            salt=i.to_bytes(16, "little"), digest_size=max(8, min(64, size))).digest()
+        if size > 64:  # a longer half takes a block of output per counter, each of them from the whole other half
+            h = b"".join(hashlib.blake2b(h, key=self.key, salt=i.to_bytes(16, "little"), person=n.to_bytes(16, "little")).digest()
+                         for n in range(1, -(-size // 64) + 1))
+        return int.from_bytes(h, "little") & self.mask
 
     def _forward(self, x: int) -> int:
         while True:
@@ -140,6 +144,31 @@ def _iban(text: str, key: bytes) -> str | None:
     return "".join(c if c == " " else next(it) for c in text)
 
 
+def _mixed(values: list[int], sizes: list[int]) -> tuple[int, int]:
+    """(number with these places, first place highest; how many such numbers there are), by halves."""
+    if len(values) <= 32:
+        x, n = 0, 1
+        for v, s in zip(values, sizes):
+            x, n = x * s + v, n * s
+        return x, n
+    half = len(values) // 2
+    (a, m), (b, n) = _mixed(values[:half], sizes[:half]), _mixed(values[half:], sizes[half:])
+    return a * n + b, m * n
+
+
+def _places(x: int, sizes: list[int]) -> list[int]:
+    """The places of a mixed-radix number, first place highest, by halves."""
+    if len(sizes) <= 32:
+        out = []
+        for s in reversed(sizes):
+            x, r = divmod(x, s)
+            out.append(r)
+        return out[::-1]
+    half = len(sizes) // 2
+    a, b = divmod(x, math.prod(sizes[half:]))
+    return _places(a, sizes[:half]) + _places(b, sizes[half:])
+
+
 def _characters(text: str, key: bytes, tag: str, hexadecimal: bool = False) -> str:
     """Letters and digits permuted within their classes as one mixed-radix number; the rest stays."""
     classes = ["0123456789abcdef"] if hexadecimal else ["0123456789", "abcdefghijklmnopqrstuvwxyz", _ACCENTED]
@@ -148,14 +177,14 @@ def _characters(text: str, key: bytes, tag: str, hexadecimal: bool = False) -> s
         own = next((k for k in classes if c.lower() in k), None)
         if own and len(c.lower()) == 1:
             slots.append((i, own))
-    n, x = 1, 0
-    for i, own in slots:
-        n, x = n * len(own), x * len(own) + own.index(text[i].lower())
+    if not slots:
+        return text
+    sizes = [len(own) for _, own in slots]
+    x, n = _mixed([own.index(text[i].lower()) for i, own in slots], sizes)
     shape = "".join(str(classes.index(own)) for _, own in slots)
     y = Feistel(n, key, f"{tag}:{shape}").encrypt(x)
     out = list(text)
-    for i, own in reversed(slots):
-        y, r = divmod(y, len(own))
+    for (i, own), r in zip(slots, _places(y, sizes)):
         out[i] = own[r].upper() if text[i].isupper() else own[r]
     if hexadecimal and any(c.isupper() for c in text):
         return "".join(out).upper()
@@ -247,7 +276,7 @@ def _regions(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def find(text: str, key: bytes = DEFAULT_KEY) -> Iterator[tuple[str, int, int, str]]:
+def find(text: str, key: bytes) -> Iterator[tuple[str, int, int, str]]:
     """(kind, start, end, pseudonym) of each validated value, left to right."""
     at = 0
     for first, last in _regions(text):
@@ -273,7 +302,7 @@ def find(text: str, key: bytes = DEFAULT_KEY) -> Iterator[tuple[str, int, int, s
             at = end
 
 
-def replaced(text: str, key: bytes = DEFAULT_KEY) -> tuple[str, list[tuple[str, int, int, str]]]:
+def replaced(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int, str]]]:
     """The text with pseudonyms, and (kind, start, length, pseudonym) of each value in the old text."""
     out, last, found = [], 0, []
     for kind, start, end, new in find(text, key):
@@ -283,17 +312,21 @@ def replaced(text: str, key: bytes = DEFAULT_KEY) -> tuple[str, list[tuple[str,
     return "".join([*out, text[last:]]), found
 
 
-def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and the column ``pii`` (kind, start, length, pseudonym).
 
     Values are found whole (e-mail addresses, dates, network addresses, phone, card, account, social
     security and bank account numbers, hexadecimal secrets), validated (calendar, octets, Luhn, mod 97)
-    and permuted within their format by a keyed Feistel network: equal values get equal pseudonyms in
-    every document, different values of a format different ones, and none stays as it was.  Only texts
+    and permuted within their format by a Feistel network under ``key``, which the caller keeps secret: who
+    has it can turn pseudonyms back.  Equal values get equal pseudonyms in
+    every document, different values of a format different ones, and none stays as it was, however long
+    it is.  An empty key raises.  Only texts
     with a digit or an @ go through Python.  Texts without a value stay as they are, null texts stay
     null with an empty list; a column already named ``pii`` is replaced; all other columns and repeated
     rows stay.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     schema = "text string, pii array<struct<kind:string,start:int,length:int,pseudonym:string>>"
 
     @F.pandas_udf(schema)

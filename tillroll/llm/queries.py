@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,9 +93,19 @@ def op3_mixing(spark, sf_dir):
     return mixing.taken_words(_table(spark, sf_dir, "documents"))
 
 
+PSEUDONYM_KEY = "spark.tillroll.pseudonymKey"
+
+
+def pseudonym_key(spark: SparkSession) -> bytes:
+    """The key in the session's setting ``PSEUDONYM_KEY``; where it is unset, a random one for this session."""
+    if not spark.conf.get(PSEUDONYM_KEY, None):
+        spark.conf.set(PSEUDONYM_KEY, secrets.token_hex(32))
+    return spark.conf.get(PSEUDONYM_KEY).encode()
+
+
 @query
 def op6_pseudonyms(spark, sf_dir):
-    return pii.pseudonymised(_table(spark, sf_dir, "documents")).select(
+    return pii.pseudonymised(_table(spark, sf_dir, "documents"), pseudonym_key(spark)).select(
         "doc_id", "text", "pii", F.size("pii").cast("long").alias("n_values"))
 
 
