@@ -15,7 +15,7 @@ from tillroll.llm.mixing import mixed_documents
 from tillroll.llm.packing import pack
 from tillroll.llm.pii import pseudonymised
 from tillroll.llm.quality import scored
-from tillroll.llm.queries import quality_model, tokenizer_path
+from tillroll.llm.queries import pseudonym_key, quality_model, tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms of the same format; ``n_chars`` follows the new text."""
-    return pseudonymised(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return pseudonymised(docs, pseudonym_key(spark)).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
