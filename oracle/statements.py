@@ -310,3 +310,31 @@ blanked AS (
 )""", _retention("blanked"))
 ORACLE["stg_half_quantities"] = with_warehouse("""
 SELECT order_id, product_id, CAST(quantity / 2 AS INTEGER) AS quantity, unit_price FROM r_order_items""")
+
+ORACLE["csv_line_breaks"] = with_warehouse("""
+SELECT customer_id::BIGINT AS customer_id, signup_date,
+       upper(trim(country || if(customer_id % 3 = 0, chr(10) || chr(10) || '"north", ' || chr(10) || 'or south', ''))) AS country,
+       nullif(lower(trim(if(customer_id % 4 = 1, '"' || chr(10) || email || chr(13) || chr(10) || 'x', email))), '') AS email
+FROM r_customers""")
+ORACLE["csv_column_types"] = with_warehouse("""
+SELECT order_id::BIGINT AS order_id, order_date, total_amount::DOUBLE AS total_amount, order_id % 2 = 0 AS even,
+       if(order_id % 5 <> 0, customer_id, NULL)::BIGINT AS customer,
+       if(order_id % 997 = 1, 'none', customer_id::VARCHAR) AS mostly_number,
+       if(order_id % 997 = 1, total_amount, customer_id)::DOUBLE AS mostly_whole,
+       order_date + if(order_id % 997 = 1, INTERVAL '750 minutes', INTERVAL '0 minutes') AS moment,
+       NULL::VARCHAR AS nothing,
+       'bigint, date, double, boolean, bigint, string, double, timestamp_ntz, string' AS types
+FROM r_orders""")
+_HOT_ITEMS = """
+hot_items AS (SELECT * REPLACE (if(product_id % 3 = 0, 1, order_id) AS order_id) FROM fct_order_items)"""
+ORACLE["stored_hot_orders"] = with_warehouse("""
+SELECT order_id, product_id, quantity, unit_price, item_total, order_status, order_date
+FROM hot_items LEFT JOIN stg_orders USING (order_id)""", _HOT_ITEMS)
+ORACLE["stored_hot_order_totals"] = with_warehouse("""
+SELECT order_id, customer_id, order_date, order_status, round(total_amount, 2) AS order_total_amount,
+       ifnull(cents, 0) / 100 AS order_amount_from_items,
+       (CAST(round(total_amount * 100) AS BIGINT) - ifnull(cents, 0)) / 100 AS reconciliation_delta, ifnull(n, 0) AS item_lines
+FROM stg_orders LEFT JOIN (
+  SELECT order_id, CAST(sum(CAST(round(item_total * 100) AS BIGINT)) AS BIGINT) AS cents, count(*) AS n FROM hot_items GROUP BY order_id)
+  USING (order_id)""", _HOT_ITEMS)
+ORACLE["filtered_orders_by_bits"] = ORACLE["filtered_orders"]

@@ -45,10 +45,18 @@ def test_csv_values_survive(spark, warehouse):
     assert sorted(map(tuple, read_raw(spark, root)["customers"].collect())) == want
     text = 'email,customer_id,country,signup_date\n"x, ""y""",2.0,"two\nlines",2020-01-01\n'
     root = _raw_folder(spark, warehouse, customers=text)
-    got = read_raw(spark, root, multiline=True)["customers"].collect()
-    assert [(r.customer_id, r.country, r.email) for r in got] == [(2, "two\nlines", 'x, "y"')]
-    with pytest.raises(Exception):  # without multiline a break inside quotes raises instead of shifting values
-        read_raw(spark, root)["customers"].collect()
+    for multiline in (None, True):
+        got = read_raw(spark, root, multiline=multiline)["customers"].collect()
+        assert [(r.customer_id, r.country, r.email) for r in got] == [(2, "two\nlines", 'x, "y"')]
+    with pytest.raises(Exception):  # where they aren't looked for, a break inside quotes raises instead of shifting values
+        read_raw(spark, root, multiline=False)["customers"].collect()
+
+
+def test_columns_beyond_the_schema_are_kept_with_their_types(spark, warehouse):
+    text = 'score,customer_id,country,signup_date,email,"since, at",tag\n1,1,x,,,2020-01-01 10:00:00,007\n2.5,2,"a\nb",2020-01-01,,,b\n'
+    got = read_raw(spark, _raw_folder(spark, warehouse, customers=text))["customers"]
+    assert got.dtypes[4:] == [("score", "double"), ("since, at", "timestamp_ntz"), ("tag", "string")]
+    assert sorted((r.customer_id, r.country, r.score, r.tag) for r in got.collect()) == [(1, "x", 1.0, "007"), (2, "a\nb", 2.5, "b")]
 
 
 @pytest.mark.parametrize("name,text", [

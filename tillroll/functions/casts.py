@@ -12,10 +12,23 @@ _BINARY = (T.FloatType, T.DoubleType)
 # plain decimal numbers, as text that a number parser of the ingest takes (no type suffixes, no hexadecimal)
 NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
-# date texts tried in this order after ISO text; month before day where both could be meant
-TIMESTAMP_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "d MMM yyyy H:mm", "d MMM yyyy", "d MMMM yyyy",
-                     "MMM d, yyyy", "MMMM d, yyyy", "yyyyMMdd", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d",
-                     "d.M.yyyy H:mm", "d.M.yyyy")
+# date texts by their shape, besides ISO text; month before day where both could be meant
+TIMESTAMP_SHAPES = (
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} \d{1,2}:\d{2}$", "d MMM yyyy H:mm"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}$", "yyyy/M/d H:mm"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4} \d{1,2}:\d{2}$", "d.M.yyyy H:mm"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+)
 
 
 def cast_integral(df: DataFrame, name: str, target: str) -> Column:
@@ -50,12 +63,24 @@ def try_number(col: Column | str) -> Column:
 
 
 def try_timestamp(col: Column | str) -> Column:
-    """Coerce to a zone-less TIMESTAMP_NTZ: ISO text, then TIMESTAMP_FORMATS; anything else becomes NULL.
+    """Coerce to a zone-less TIMESTAMP_NTZ: ISO text, or one of TIMESTAMP_SHAPES; anything else becomes NULL.
 
-    Eight digits are a date (yyyyMMdd), not a year.
+    The text's shape names the one format it is parsed with, so each value is parsed once.  Only digits
+    are a date if there are eight of them (yyyyMMdd), never a year alone.
     """
     c = F.col(col) if isinstance(col, str) else col
     text = F.trim(c.cast("string"))
-    formats = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS]
-    parsed = F.coalesce(F.when(~text.rlike(r"^\d+$"), text.try_cast("timestamp_ntz")), *formats)
+    parsed = F.when(text.rlike(r"^\d{4}-"), text.try_cast("timestamp_ntz"))
+    for shape, fmt in TIMESTAMP_SHAPES:
+        parsed = parsed.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz"))
+    parsed = parsed.when(~text.rlike(r"^\d+$"), text.try_cast("timestamp_ntz"))
     return F.when(F.typeof(c) != "string", c.try_cast("timestamp_ntz")).otherwise(parsed)
+
+
+def computed_once(*columns: Column) -> Column:
+    """The columns, as one generator of a ``select``: later filters and projections read their values.
+
+    The optimizer copies a projection's expressions into the filters and projections above it; it doesn't
+    copy those of a generator, which here gives exactly one row per input row.
+    """
+    return F.inline(F.array(F.struct(*columns)))

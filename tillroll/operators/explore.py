@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.dates import as_date_lit
 from tillroll.functions.money import cents, div_half_away, from_cents
 from tillroll.operators.metrics import signed_cents
+from tillroll.operators.category_bits import BITS, holds_any
 from tillroll.operators.staging import PAID, REFUNDED
 from tillroll.session import stage
 
@@ -103,9 +104,13 @@ def orders_in_scope(t: Tables, f: Filters, statuses: Sequence[str] = (PAID,),
     else:
         dated = F.col("order_date").between(*f.date_range(_order_dates(t)))
     o = fo.where(F.col("order_status").isin(list(statuses)) & dated)
+    stored = BITS in fo.columns and "dim_categories" in t
     if category_exists and f.categories:
-        o = o.join(orders_with_categories(t, f.categories), "order_id", "left_semi")
-    return o
+        if stored:  # the item lines aren't read
+            o = o.where(holds_any(t["dim_categories"], f.categories))
+        else:
+            o = o.join(orders_with_categories(t, f.categories), "order_id", "left_semi")
+    return o.drop(BITS)
 
 
 def filter_orders(t: Tables, f: Filters = Filters(), statuses: Sequence[str] = (PAID,)) -> DataFrame:

@@ -20,7 +20,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.casts import try_number, try_timestamp
+from tillroll.functions.casts import computed_once, try_number, try_timestamp
 from tillroll.functions.text import derive_category, strip
 from tillroll.session import stage as stage_table
 from tillroll.session import unstage
@@ -60,10 +60,11 @@ def clean_lines(lines: DataFrame) -> DataFrame:
         _text_key(F.col("InvoiceNo")).alias("InvoiceNo"),
         _text_key(F.col("StockCode")).alias("StockCode"),
         F.col("Description").cast("string").alias("Description"),
-        try_number(F.col("Quantity")).alias("Quantity"),
-        try_timestamp(F.col("InvoiceDate")).alias("InvoiceDate"),
-        try_number(F.col("UnitPrice")).alias("UnitPrice"),
-        try_number(F.col("CustomerID")).alias("CustomerID"),
+        computed_once(
+            try_number(F.col("Quantity")).alias("Quantity"),
+            try_timestamp(F.col("InvoiceDate")).alias("InvoiceDate"),
+            try_number(F.col("UnitPrice")).alias("UnitPrice"),
+            try_number(F.col("CustomerID")).alias("CustomerID")),
         F.col("Country").cast("string").alias("Country"),
         F.col("line_no"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import cents, from_cents
+from tillroll.sources.buckets import BucketStore
 
 
 def dim_customers(stg_customers: DataFrame) -> DataFrame:
@@ -38,12 +39,17 @@ def item_totals(fct_order_items: DataFrame) -> DataFrame:
     )
 
 
-def fct_orders(stg_orders: DataFrame, fct_order_items: DataFrame) -> DataFrame:
+def stored_item_totals(items: BucketStore) -> DataFrame:
+    """``item_totals`` of items stored in buckets by order, added up where they lie."""
+    return items.sums({"items_cents": cents("item_total"), "item_lines": F.lit(1).cast("bigint")})
+
+
+def fct_orders(stg_orders: DataFrame, fct_order_items: DataFrame | BucketStore) -> DataFrame:
     """Orders with the amount rebuilt from items, the reconciliation delta and line count.
 
     Orders without items are kept (LEFT join) with amount 0 and 0 lines.
     """
-    items = item_totals(fct_order_items)
+    items = (stored_item_totals if isinstance(fct_order_items, BucketStore) else item_totals)(fct_order_items)
     o = stg_orders.join(items, "order_id", "left")
     total_cents = cents("total_amount")
     item_cents = F.coalesce(F.col("items_cents"), F.lit(0).cast("bigint"))

@@ -20,12 +20,15 @@ from tillroll.operators import explore as X
 from tillroll.operators import ingest as I
 from tillroll.operators import metrics as M
 from tillroll.operators import quality as Q
+from tillroll.operators.marts import fct_orders
 from tillroll.operators.staging import stage as stage_raw
 from tillroll.operators.staging import stg_order_items
-from tillroll.plans.warehouse import warehouse_from_testdata
+from tillroll.plans.warehouse import store_category_bits, warehouse_from_testdata
 from tillroll.session import ensure_checkpoint_dir
 from tillroll.sources import tpch
-from tillroll.sources.raw import CSV_OPTIONS, read_raw, row_counts
+from tillroll.sources.buckets import BucketStore, store_bucketed
+from tillroll.sources.csvlines import CSV_OPTIONS, found_types, read_text_csv, with_types
+from tillroll.sources.raw import read_raw, row_counts
 from tillroll.sources.sinks import export_relations, materialize, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,6 +356,37 @@ for _name in ("customers", "products", "orders", "order_items"):
     query(_csv_staged(_name))
 
 
+@query
+def csv_line_breaks(spark, sf_dir):
+    """Customers whose texts hold line breaks, blank lines and quotes, cut into records in parallel and staged."""
+    root = _scratch(spark)
+    for name, df in tpch.raw_tables(spark, sf_dir).items():
+        if name == "customers":
+            df = df.withColumns({
+                "country": F.concat(F.col("country"), F.when(F.col("customer_id") % 3 == 0, F.lit('\n\n"north", \nor south')).otherwise("")),
+                "email": F.when(F.col("customer_id") % 4 == 1, F.concat(F.lit('"\n'), F.col("email"), F.lit("\r\nx"))).otherwise(F.col("email"))})
+        write_table(df, f"{root}/{name}.csv", "csv")
+    return stage_raw(read_raw(spark, root, "csv"))["stg_customers"]
+
+
+@query
+def csv_column_types(spark, sf_dir):
+    """Orders written as CSV, read back with the column types that all values have; ``types`` names them."""
+    orders = tpch.raw_tables(spark, sf_dir)["orders"]
+    k = F.col("order_id")
+    path = f"{_scratch(spark)}/orders.csv"
+    write_table(orders.select(
+        "order_id", "order_date", "total_amount", (k % 2 == 0).alias("even"),
+        F.when(k % 5 != 0, F.col("customer_id")).alias("customer"),
+        F.when(k % 997 == 1, F.lit("none")).otherwise(F.col("customer_id").cast("string")).alias("mostly_number"),
+        F.when(k % 997 == 1, F.col("total_amount")).otherwise(F.col("customer_id")).alias("mostly_whole"),
+        F.concat(F.date_format("order_date", "yyyy-MM-dd"), F.when(k % 997 == 1, F.lit(" 12:30:00")).otherwise("")).alias("moment"),
+        F.lit(None).cast("string").alias("nothing")), path, "csv")
+    text = read_text_csv(spark, path)
+    types = found_types(text)
+    return with_types(text, types).withColumn("types", F.lit(", ".join(types.values())))
+
+
 @query
 def export_roundtrip(spark, sf_dir):
     """Customers with awkward texts, exported as CSV and read again by any RFC 4180 reader's rules."""
@@ -367,3 +401,31 @@ def export_roundtrip(spark, sf_dir):
 def stored_fct_orders(spark, sf_dir):
     """fct_orders after a write to Parquet and a read back (the stored mart table)."""
     return materialize(spark, _wh(spark, sf_dir), _scratch(spark), ["fct_orders"])["fct_orders"]
+
+
+def _hot_orders(spark, sf_dir) -> tuple[BucketStore, DataFrame]:
+    """Item facts with a third of the lines in one order, stored in buckets by order, and the staged orders."""
+    wh = _wh(spark, sf_dir)
+    items = wh["fct_order_items"].withColumn("order_id", F.when(F.col("product_id") % 3 == 0, 1).otherwise(F.col("order_id")))
+    name = f"tillroll_hot_{uuid.uuid4().hex[:12]}"
+    return store_bucketed(items, name, f"{_scratch(spark)}/{name}", "order_id", 8), wh["stg_orders"]
+
+
+@query
+def stored_hot_orders(spark, sf_dir):
+    """Stored lines joined with their orders; only the hot order's row is repeated."""
+    store, orders = _hot_orders(spark, sf_dir)
+    return store.joined(orders.select("order_id", "order_status", "order_date"), "left")
+
+
+@query
+def stored_hot_order_totals(spark, sf_dir):
+    """Order facts from stored lines of which a third lie in one order."""
+    store, orders = _hot_orders(spark, sf_dir)
+    return fct_orders(orders, store)
+
+
+@query
+def filtered_orders_by_bits(spark, sf_dir):
+    """The orders passing the sample filter, their categories tested by stored bits instead of the item lines."""
+    return X.filter_orders(store_category_bits(spark, _wh(spark, sf_dir), _scratch(spark)), SAMPLE_FILTERS)

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.operators.category_bits import category_codes, order_category_bits, with_category_bits
 from tillroll.operators.marts import build_marts, fct_orders
 from tillroll.operators.staging import stage
 from tillroll.sources import tpch
+from tillroll.sources.sinks import materialize
 
 # fixed values: the twelve relations of the warehouse, in layer order
 RELATIONS = (
@@ -38,6 +40,16 @@ def warehouse_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataF
     return build(tpch.raw_tables(spark, sf_dir))
 
 
+def store_category_bits(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The relations with stored order facts that know their categories: ``dim_categories``, ``fct_orders.category_bits``.
+
+    Category filters (``explore.orders_in_scope``) then test bits of the orders and don't read the item lines.
+    """
+    out = materialize(spark, {**tables, "dim_categories": category_codes(tables["dim_products"])}, root, ["dim_categories"])
+    bits = order_category_bits(out["fct_order_items"], out["dim_products"], out["dim_categories"])
+    return materialize(spark, {**out, "fct_orders": with_category_bits(out["fct_orders"], bits)}, root, ["fct_orders"])
+
+
 MARTS = ("dim_customers", "dim_products", "fct_order_items", "fct_orders")
 
 
@@ -69,7 +81,7 @@ def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config
     from tillroll.operators.quality import EXAMPLE_CONFIG, run_quality
     from tillroll.session import stage as stage_table
     from tillroll.session import unstage
-    from tillroll.sources.sinks import export_relations, materialize, write_checks, write_metrics
+    from tillroll.sources.sinks import export_relations, write_checks, write_metrics, write_table
 
     cfg = config or {"quality": EXAMPLE_CONFIG, "metrics": {}}
     parts = {"fct_orders": ["order_date"]} if partition_orders_by_date else None
@@ -78,9 +90,10 @@ def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config
     # store the item facts first, then build the order facts from the stored items
     buckets = ({"fct_order_items": (order_buckets, "order_id"), "fct_orders": (order_buckets, "order_id")}
                if order_buckets else None)
+    stores: dict = {}
     tables = materialize(spark, build(raw), root, ("dim_customers", "dim_products", "fct_order_items"),
-                         bucket_by=buckets)
-    tables["fct_orders"] = fct_orders(tables["stg_orders"], tables["fct_order_items"])
+                         bucket_by=buckets, stores=stores)
+    tables["fct_orders"] = fct_orders(tables["stg_orders"], stores.get("fct_order_items", tables["fct_order_items"]))
     tables = materialize(spark, tables, root, ("fct_orders",), parts, buckets)
     register(tables)
     export_relations(tables, os.path.join(out_dir, "staging"), ("stg_",))
@@ -98,7 +111,7 @@ def run_all(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str, config
     report = write_checks(checks, os.path.join(out_dir, "quality"), today)
 
     contract_rows = validate_contract(tables, contract or SCHEMA_V1)
-    contract_rows.write.mode("overwrite").json(os.path.join(out_dir, "contract"))
+    write_table(contract_rows, os.path.join(out_dir, "contract"), "json")
     contract_ok = contract_rows.where("status <> 'pass'").limit(1).count() == 0
     return {"tables": tables, "metrics": sorted(results), "manifest": manifest,
             "quality_summary": report["counts"], "contract_ok": contract_ok}

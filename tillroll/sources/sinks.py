@@ -14,6 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.sources.buckets import BucketStore, store_bucketed
+from tillroll.sources.replace import replace_folder
 
 # values come back as they were: quotes doubled, outer blanks kept
 CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
@@ -21,47 +23,50 @@ CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpa
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Iterable[str] = ()) -> str:
-    """CREATE OR REPLACE TABLE ... AS SELECT: overwrite ``path`` with ``df``."""
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if fmt == "csv":
-        w = w.options(**CSV_WRITE)
-    w.save(path)
-    return path
+    """CREATE OR REPLACE TABLE ... AS SELECT: the folder ``path`` with ``df``'s rows.
+
+    The rows are written beside and put in place once they are whole: a write that fails leaves the old
+    ones, and ``df`` may read from ``path`` itself.
+    """
+    def write(folder: str) -> None:
+        w = df.write.format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if fmt == "csv":
+            w = w.options(**CSV_WRITE)
+        if fmt == "json":
+            w = w.option("dateFormat", "yyyy-MM-dd")
+        w.save(folder)
+
+    return replace_folder(df.sparkSession, path, write)
 
 
 def materialize(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
                 names: Iterable[str], partition_by: Mapping[str, Iterable[str]] | None = None,
                 bucket_by: Mapping[str, tuple[int, str]] | None = None,
-                table_prefix: str = "tillroll") -> dict[str, DataFrame]:
+                table_prefix: str = "tillroll", stores: dict[str, BucketStore] | None = None) -> dict[str, DataFrame]:
     """Write the named relations as Parquet under ``root`` and return them re-read.
 
     Later steps then read the stored tables instead of recomputing the whole
     lineage, and a lost executor only costs re-reading files.  ``partition_by``
     maps a relation to partition columns (e.g. ``fct_orders`` by
     ``order_date``), so date-range filters prune whole folders.  ``bucket_by``
-    maps a relation to ``(buckets, key)``: the table is hash-partitioned on the
-    key once at write time and registered as a bucketed catalog table, so later
-    aggregations and joins on that key read it without a shuffle.  Columns keep
-    their original order on read.
+    maps a relation to ``(buckets, key)``: the table is dealt out by the key once at
+    write time (``store_bucketed``: keys with very many rows over several buckets) and registered as a
+    bucketed catalog table, so later aggregations and joins on that key read it without a shuffle.
+    ``stores`` takes those tables' ``BucketStore`` by name.
+    Replaced tables stay readable until the new ones are whole.  Columns keep their original order on read.
     """
-    import uuid
-
     out = dict(tables)
-    run = uuid.uuid4().hex[:12]
     for name in names:
         keys = list((partition_by or {}).get(name, ()))
         path = os.path.join(root, name)
         if bucket_by and name in bucket_by:
             n, key = bucket_by[name]
-            table = f"{table_prefix}_{name}"
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
-            w = tables[name].repartition(n, key).write.mode("overwrite").format("parquet")
-            if keys:
-                w = w.partitionBy(*keys)
-            w.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
-            out[name] = spark.table(table).select(*tables[name].columns)
+            store = store_bucketed(tables[name], f"{table_prefix}_{name}", path, key, n, keys)
+            out[name] = store.rows
+            if stores is not None:
+                stores[name] = store
         else:
             # rebalance splits a hot key over tasks by size and merges small ones
             df = tables[name].hint("rebalance", *[F.col(k) for k in keys]) if keys else tables[name]
@@ -93,8 +98,7 @@ def export_relations(tables: Mapping[str, DataFrame], out_dir: str, prefixes: It
 def write_metric(df: DataFrame, out_dir: str, name: str) -> dict[str, str]:
     """Metric result as CSV (header) and JSON lines with ISO dates."""
     csv_path = write_table(df, os.path.join(out_dir, f"{name}.csv"), "csv")
-    json_path = os.path.join(out_dir, f"{name}.json")
-    df.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(json_path)
+    json_path = write_table(df, os.path.join(out_dir, f"{name}.json"), "json")
     return {"csv": csv_path, "json": json_path}
 
 
@@ -113,7 +117,7 @@ def write_metrics(results: Mapping[str, DataFrame], out_dir: str) -> DataFrame:
         entries.append((name, kept.count(), paths["csv"], paths["json"]))
         kept.unpersist()
     m = spark.createDataFrame(entries, "metric string, rows long, csv string, json string")
-    m.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "metrics_manifest.json"))
+    write_table(m.coalesce(1), os.path.join(out_dir, "metrics_manifest.json"), "json")
     return m
 
 
@@ -126,13 +130,13 @@ def write_checks(checks: DataFrame, out_dir: str, generated_at: str) -> dict:
     from tillroll.operators.quality import summarize
     kept = checks.persist(StorageLevel.MEMORY_AND_DISK)
     checks_path = os.path.join(out_dir, "checks.json")
-    kept.write.mode("overwrite").json(checks_path)
+    write_table(kept, checks_path, "json")
     counts = {r["status"]: int(r["count"]) for r in summarize(kept).collect()}  # a handful of statuses
     kept.unpersist()
     summary_df = checks.sparkSession.createDataFrame(
         [(generated_at, dict(sorted(counts.items())))], "generated_at string, summary map<string,long>")
     summary_path = os.path.join(out_dir, "summary.json")
-    summary_df.coalesce(1).write.mode("overwrite").json(summary_path)
+    write_table(summary_df.coalesce(1), summary_path, "json")
     return {"checks": checks_path, "summary": summary_path, "counts": counts}
 
 
