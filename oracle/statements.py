@@ -338,3 +338,17 @@ FROM stg_orders LEFT JOIN (
   SELECT order_id, CAST(sum(CAST(round(item_total * 100) AS BIGINT)) AS BIGINT) AS cents, count(*) AS n FROM hot_items GROUP BY order_id)
   USING (order_id)""", _HOT_ITEMS)
 ORACLE["filtered_orders_by_bits"] = ORACLE["filtered_orders"]
+ORACLE["daily_ma7_by_country"] = with_warehouse("""
+SELECT country, metric_date, c / 100.0 AS gmv,
+       CAST(sum(c) OVER w AS DOUBLE) / (CAST(count(*) OVER w AS DOUBLE) * 100.0) AS gmv_ma7,
+       n AS orders, CAST(sum(n) OVER w AS DOUBLE) / count(*) OVER w AS orders_ma7
+FROM spine LEFT JOIN sold USING (country, metric_date), LATERAL (SELECT coalesce(cents, 0) AS c, coalesce(orders, 0) AS n) z
+WINDOW w AS (PARTITION BY country ORDER BY metric_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""", """
+sold AS (
+  SELECT country, order_date AS metric_date, CAST(sum(CAST(round(order_amount_from_items * 100) AS BIGINT)) AS BIGINT) AS cents,
+         count(*) AS orders
+  FROM fct_orders JOIN dim_customers USING (customer_id) WHERE order_status = 'paid' AND order_date IS NOT NULL GROUP BY ALL),
+spine AS (
+  SELECT country, CAST(unnest(generate_series(CAST(min(metric_date) AS TIMESTAMP), CAST(max(metric_date) AS TIMESTAMP),
+                                              INTERVAL 1 DAY)) AS DATE) AS metric_date
+  FROM sold GROUP BY country)""")

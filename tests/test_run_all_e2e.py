@@ -1,3 +1,4 @@
+import json
 import os
 import tempfile
 
@@ -19,10 +20,14 @@ def test_run_all_small(spark):
     assert res["metrics"] == ["m_gmv_daily", "m_net_gmv_daily", "m_retention_cohort"]
     assert set(res["quality_summary"]) >= {"pass", "warn", "fail"}
     assert res["contract_ok"] is True
-    for sub in ("staging/stg_orders", "marts/fct_orders", "warehouse/fct_orders", "metrics/m_gmv_daily.csv",
-                "metrics/m_net_gmv_daily.csv", "metrics/m_retention_cohort.json", "metrics/metrics_manifest.json",
-                "quality/checks.json", "quality/summary.json", "contract"):
+    for sub in ("staging/stg_orders", "marts/fct_orders", "warehouse/fct_orders", "contract"):
         assert os.path.isdir(os.path.join(out, sub)), sub
+    for sub in ("metrics/m_gmv_daily.csv", "metrics/m_net_gmv_daily.csv", "metrics/m_retention_cohort.json",
+                "metrics/metrics_manifest.json", "quality/checks.json", "quality/summary.json"):
+        assert os.path.isfile(os.path.join(out, sub)), sub
+    daily = json.load(open(os.path.join(out, "metrics/m_gmv_daily.json")))
+    assert [d["metric_date"] for d in daily] == sorted(d["metric_date"] for d in daily)
+    assert {c["status"] for c in json.load(open(os.path.join(out, "quality/checks.json")))} <= {"pass", "warn", "fail"}
     manifest = spark.read.json(os.path.join(out, "metrics/metrics_manifest.json")).collect()
     assert {r["metric"] for r in manifest} == set(res["metrics"])
     for r in manifest:  # the counts are those of the written outputs

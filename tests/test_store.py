@@ -1,5 +1,6 @@
 """Stored tables: replacing them safely, buckets with a hot key, category bits of orders."""
 
+import json
 import os
 import uuid
 
@@ -12,7 +13,7 @@ from tillroll.operators.marts import fct_orders
 from tillroll.plans.warehouse import store_category_bits
 from tillroll.sources.buckets import SALT, store_bucketed
 from tillroll.sources.replace import replace_table
-from tillroll.sources.sinks import write_table
+from tillroll.sources.sinks import write_one_file, write_table
 
 
 def plan_of(df):
@@ -160,3 +161,21 @@ def test_category_bits_grow_with_the_dictionary(spark):
     lines = spark.createDataFrame([(1, 0), (1, 63), (1, 64), (1, 64), (1, 499), (2, 200), (3, 1000), (4, 5000)], "order_id long, product_id long")
     bits = {r.order_id: r.category_bits for r in order_category_bits(lines, products, category_codes(products)).collect()}
     assert bits == {1: {0: 1 - (1 << 63), 1: 1, 7: 1 << 51}, 2: {3: 1 << 8}}
+
+
+def test_one_file_is_an_array_and_a_failed_task_leaves_none(spark, tmp_path):
+    df = spark.createDataFrame([(3, None, "a,\"b\"\nc"), (1, 2.5, None)], "id long, x double, t string").withColumn(
+        "day", F.lit("2020-01-02").cast("date"))
+    for rows in (df, df.where("false")):
+        for _ in range(2):  # a second write replaces the first
+            write_one_file(rows, str(tmp_path / "m.json"), "json")
+            write_one_file(rows, str(tmp_path / "m.csv"), "csv")
+        want = [{"id": 3, "x": None, "t": "a,\"b\"\nc", "day": "2020-01-02"}, {"id": 1, "x": 2.5, "t": None, "day": "2020-01-02"}]
+        assert json.load(open(tmp_path / "m.json")) == (want if rows is df else [])
+        assert open(tmp_path / "m.csv").readline() == "id,x,t,day\n"
+    with pytest.raises(Exception, match="half way"):
+        write_one_file(failing(spark.range(10)), str(tmp_path / "none.json"), "json")
+    with pytest.raises(Exception, match="half way"):
+        write_one_file(failing(spark.range(10)), str(tmp_path / "m.json"), "json")
+    assert json.load(open(tmp_path / "m.json")) == []
+    assert sorted(n for n in os.listdir(tmp_path) if not n.endswith(".crc")) == ["m.csv", "m.json"]

@@ -20,6 +20,7 @@ from tillroll.operators import explore as X
 from tillroll.operators import ingest as I
 from tillroll.operators import metrics as M
 from tillroll.operators import quality as Q
+from tillroll.operators.keyed_series import daily_series_by, moving_average_by
 from tillroll.operators.marts import fct_orders
 from tillroll.operators.staging import stage as stage_raw
 from tillroll.operators.staging import stg_order_items
@@ -429,3 +430,9 @@ def stored_hot_order_totals(spark, sf_dir):
 def filtered_orders_by_bits(spark, sf_dir):
     """The orders passing the sample filter, their categories tested by stored bits instead of the item lines."""
     return X.filter_orders(store_category_bits(spark, _wh(spark, sf_dir), _scratch(spark)), SAMPLE_FILTERS)
+
+
+@query
+def daily_ma7_by_country(spark, sf_dir):
+    """Daily sales of every country over its own calendar with seven-day means, in blocks of 256 days."""
+    return moving_average_by(daily_series_by(_wh(spark, sf_dir)), ["country"], block_days=256)

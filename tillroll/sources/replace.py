@@ -27,7 +27,7 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def put_in_place(spark: SparkSession, fresh: str, path: str) -> None:
-    """Make the folder ``fresh`` the folder ``path``; what is there is moved aside, and back if that fails.
+    """Make the folder or file ``fresh`` that of ``path``; what is there is moved aside, and back if that fails.
 
     Two renames: a reader that looks between them finds nothing, none finds a mix.  Where renaming
     copies (object stores), use catalog tables.
@@ -61,6 +61,22 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
     return path
 
 
+def replace_file(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Let ``write(folder)`` write a folder with one part file beside ``path``, then make that file ``path``."""
+    fs, there = _path(spark, path)
+    fs.mkdirs(there.getParent())
+    fresh = f"{there.getParent()}/.{there.getName()}-new-{uuid.uuid4().hex}"
+    try:
+        write(fresh)
+        parts = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{fresh}/part-*"))
+        if len(parts) != 1:
+            raise OSError(f"{len(parts)} part files were written for {path}")
+        put_in_place(spark, str(parts[0].getPath()), path)
+    finally:
+        delete_folder(spark, fresh)
+    return path
+
+
 def _described(spark: SparkSession, table: str) -> tuple[list, str, str | None]:
     """(layout, location, previous location) of a catalog table."""
     rows = [tuple(r) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]

@@ -1,8 +1,8 @@
 """Sinks: relation exports, metric outputs, manifests and check reports.
 
-All writers are distributed DataFrame writes (a folder of part files per
-output); nothing is collected to the driver except the small manifest and
-summary rows a caller asks for.
+Relations are distributed DataFrame writes (a folder of part files each); metrics, checks and manifests,
+which are bounded by the calendar and the rules, are one file each.  Nothing is collected to the driver
+except the small manifest and summary rows a caller asks for.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.sources.buckets import BucketStore, store_bucketed
-from tillroll.sources.replace import replace_folder
+from tillroll.sources.replace import replace_file, replace_folder
 
 # values come back as they were: quotes doubled, outer blanks kept
 CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
@@ -41,6 +41,27 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: It
     return replace_folder(df.sparkSession, path, write)
 
 
+def write_one_file(df: DataFrame, path: str, fmt: str) -> str:
+    """``df`` as the one file ``path``: CSV with a header, or JSON as one array of records (NULLs written).
+
+    For bounded results only, such as metrics, checks and manifests: one task writes the file, and a JSON array
+    is one value.  The file is put in its place when it is whole; a failed task leaves the old one, or none.
+    Rows keep the frame's order.
+    """
+    spark = df.sparkSession
+
+    def write(folder: str) -> None:
+        one = df.coalesce(1)
+        if fmt == "csv":
+            one.write.options(**CSV_WRITE).csv(folder)
+        else:
+            record = F.struct(*[F.col("`{}`".format(c.replace("`", "``"))) for c in df.columns])
+            options = {"dateFormat": "yyyy-MM-dd", "ignoreNullFields": "false"}
+            one.agg(F.to_json(F.collect_list(record), options).alias("value")).coalesce(1).write.text(folder)
+
+    return replace_file(spark, path, write)
+
+
 def materialize(spark: SparkSession, tables: Mapping[str, DataFrame], root: str,
                 names: Iterable[str], partition_by: Mapping[str, Iterable[str]] | None = None,
                 bucket_by: Mapping[str, tuple[int, str]] | None = None,
@@ -96,10 +117,8 @@ def export_relations(tables: Mapping[str, DataFrame], out_dir: str, prefixes: It
 
 
 def write_metric(df: DataFrame, out_dir: str, name: str) -> dict[str, str]:
-    """Metric result as CSV (header) and JSON lines with ISO dates."""
-    csv_path = write_table(df, os.path.join(out_dir, f"{name}.csv"), "csv")
-    json_path = write_table(df, os.path.join(out_dir, f"{name}.json"), "json")
-    return {"csv": csv_path, "json": json_path}
+    """Metric result as the files ``name.csv`` (header) and ``name.json`` (an array of records, ISO dates)."""
+    return {fmt: write_one_file(df, os.path.join(out_dir, f"{name}.{fmt}"), fmt) for fmt in ("csv", "json")}
 
 
 def write_metrics(results: Mapping[str, DataFrame], out_dir: str) -> DataFrame:
@@ -117,12 +136,12 @@ def write_metrics(results: Mapping[str, DataFrame], out_dir: str) -> DataFrame:
         entries.append((name, kept.count(), paths["csv"], paths["json"]))
         kept.unpersist()
     m = spark.createDataFrame(entries, "metric string, rows long, csv string, json string")
-    write_table(m.coalesce(1), os.path.join(out_dir, "metrics_manifest.json"), "json")
+    write_one_file(m, os.path.join(out_dir, "metrics_manifest.json"), "json")
     return m
 
 
 def write_checks(checks: DataFrame, out_dir: str, generated_at: str) -> dict:
-    """Quality report: check rows (JSON lines) and a one-object summary with the run date.
+    """Quality report: the files ``checks.json`` and ``summary.json`` (one record with the run date).
 
     The check rows (one per configured rule) are kept for the write and the
     summary, so the checks run once.
@@ -130,13 +149,13 @@ def write_checks(checks: DataFrame, out_dir: str, generated_at: str) -> dict:
     from tillroll.operators.quality import summarize
     kept = checks.persist(StorageLevel.MEMORY_AND_DISK)
     checks_path = os.path.join(out_dir, "checks.json")
-    write_table(kept, checks_path, "json")
+    write_one_file(kept, checks_path, "json")
     counts = {r["status"]: int(r["count"]) for r in summarize(kept).collect()}  # a handful of statuses
     kept.unpersist()
     summary_df = checks.sparkSession.createDataFrame(
         [(generated_at, dict(sorted(counts.items())))], "generated_at string, summary map<string,long>")
     summary_path = os.path.join(out_dir, "summary.json")
-    write_table(summary_df.coalesce(1), summary_path, "json")
+    write_one_file(summary_df, summary_path, "json")
     return {"checks": checks_path, "summary": summary_path, "counts": counts}
 
 
