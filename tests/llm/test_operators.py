@@ -351,3 +351,20 @@ def test_fingerprints_of_rows_that_share_an_id(spark):
     got = fingerprint.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_chars) for r in got) == [(3, 5), (7, 0), (7, 10), (7, 16)]
     assert len({r.fingerprint for r in got}) == 4 and all(r.near_next is not None for r in got)
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, 250, 10_000])
+def test_commonest_words_are_cut_before_they_are_sorted(spark, n):
+    rng = random.Random(n)
+    held = [(f"w{i}", rng.choice([1] * 60 + [2] * 9 + [3, 5, 1023, 1024, 1100, 10 ** 6, 10 ** 12])) for i in range(3000)]
+    got = [r.c for r in lm.commonest(spark.createDataFrame(held, "word string, c long"), n).collect()]
+    assert got == sorted((c for _, c in held), reverse=True)[:n]
+
+
+def test_sampled_ids_are_those_of_the_smallest_hash(spark):
+    rows = spark.range(5000).select((F.col("id") % 4000).alias("id"))
+    want = {r.id for r in rows.distinct().orderBy(F.xxhash64(F.lit(5), "id")).limit(50).collect()}
+    assert {r.id for r in quality._sampled_ids(rows, 5000, 50, 5).collect()} == want
+    hot = spark.range(20_000).select((F.col("id") % 60).alias("id"))  # few ids, many rows: the cut is widened
+    assert quality._sampled_ids(hot, 20_000, 50, 5).count() == 50
+    assert quality._sampled_ids(rows.where("id < 3"), 3, 50, 5).count() == 3

@@ -137,14 +137,31 @@ def _platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(a), float(b)) if a > 0 else (1.0, 0.0)
 
 
+def _sampled_ids(rows: DataFrame, n: int, sample: int, seed: int) -> DataFrame:
+    """``(id, place)``: of the ids of ``n`` rows the ``sample`` ones whose hash ``place`` is smallest.
+
+    Ids are cut by their hash before they are sorted, so that about four times ``sample`` are, at any
+    number of rows; where ids repeat so often that too few are left, the cut is widened.
+    """
+    ids = rows.select("id").withColumn("place", F.xxhash64(F.lit(seed), "id")).distinct()
+    part = min(1.0, 4 * sample / max(1, n))
+    while True:
+        cut = ids.where(F.col("place") <= F.lit(min((1 << 63) - 1, int(part * (1 << 64)) - (1 << 63))))
+        few = write_stage(cut.orderBy("place").limit(sample), "sample")
+        if part >= 1.0 or few.count() >= sample:
+            return few
+        part = min(1.0, 16 * part)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS, cost: float = 1.0, epochs: int = 40,
           smoothing: float = 1.0, seed: int = 5) -> Model:
     """Fit on the texts of ``docs`` whose doc_id has a 0/1 label in ``labels (doc_id, label)``.
 
     Log-count ratios: over all labelled rows, each feature's share of the documents of class 1 against
-    class 0, from counts added up in Spark.  Linear model: at most ``sample`` rows of each class, those
-    with the smallest hash of their doc_id.  Rows with a null id or label are left out; a doc_id labelled
-    twice counts twice; with one class or none the model scores 0.5 everywhere.
+    class 0, from counts added up in Spark.  Linear model: the texts of at most ``sample`` ids of each class, those
+    with the smallest hash (of several texts under an id the smallest); only their ids are sorted, their texts
+    are joined afterwards.  Rows with a null id or label are left out; a doc_id labelled
+    twice counts twice in the ratios; with one class or none the model scores 0.5 everywhere.
     """
     size = 1 << FEATURE_BITS
     marks = labels.where("doc_id is not null and label in (0, 1)").select(
@@ -184,15 +201,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_CLASS, co
 
     picked: list[np.ndarray] = []
     y: list[int] = []
-    for label in (0, 1):
-        def numbers(batches):
-            for batch in batches:
-                for part in chunks(batch, limit=FEATURE_CHUNK):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f.astype(np.int32) for f in features(part.column(0))], pa.list_(pa.int32()))],
-                        names=["f"])
-        few = rows.where(F.col("label") == label).orderBy(F.xxhash64(F.lit(seed), "id"), "text").limit(sample)
-        got = few.select("text").mapInArrow(numbers, "f array<int>").toArrow()
+
+    def numbers(batches):
+        for batch in batches:
+            for part in chunks(batch, limit=FEATURE_CHUNK):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([f.astype(np.int32) for f in features(part.column(1))], pa.list_(pa.int32()))],
+                    names=["place", "f"])
+    for label, n in ((0, n_neg), (1, n_pos)):
+        ids = _sampled_ids(rows.where(F.col("label") == label), int(n), sample, seed)
+        chosen = (rows.where(F.col("label") == label).join(F.broadcast(ids), "id")  # at most ``sample`` ids
+                  .groupBy("place").agg(F.min("text").alias("text")))
+        got = chosen.select("place", "text").mapInArrow(numbers, "place long, f array<int>").toArrow().sort_by("place")
         for x in got.column("f").combine_chunks() if got.num_rows else []:
             picked.append(x.values.to_numpy().astype(np.int64))
             y.append(1 if label else -1)
