@@ -254,3 +254,12 @@ def test_mixed_radix_places_by_halves():
 def test_pseudonyms_need_a_key():
     with pytest.raises(ValueError, match="key"):
         pii.pseudonymised(None, b"")
+
+
+def test_word_hashes_part_words_and_ignore_where_they_stand():
+    from tillroll.llm.words import hash_words
+    names = [f"{a}{b}" for a in ("", "x", "é", "zz") for b in range(3000)] + ["a", "b", "ab", "ba", "aa", "aaa", "日本"]
+    h = hash_words(pa.array(names))
+    assert len(np.unique(h)) == len(names)
+    assert (hash_words(pa.array(["cut", *names]).slice(1)) == h).all() and len(hash_words(pa.array([], pa.string()))) == 0
+    assert hash_words(pa.array(["日本", "a"])).tolist() == [h[-1], h[len(names) - 7]]

@@ -87,22 +87,22 @@ FILTER_BITS = 25
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-def _places(ids: np.ndarray) -> list[np.ndarray]:
+def _places(ids: np.ndarray, size: int) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         u = ids.astype(np.int64).view(np.uint64)
-        return [((u ^ (u >> np.uint64(32))) * m) >> np.uint64(64 - FILTER_BITS) for m in _ODD]
+        return [((u ^ (u >> np.uint64(32))) * m) >> np.uint64(64 - size) for m in _ODD]
 
 
-def id_filter(ids: DataFrame):
-    """A broadcast bitmap of fixed size that holds all long ids of the single-column frame."""
+def id_filter(ids: DataFrame, size: int = FILTER_BITS):
+    """A broadcast bitmap of 2**size bits, a fixed size, that holds all long ids of the single-column frame."""
     spark = ids.sparkSession
     name = ids.columns[0]
 
     def marks(batches):
-        bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        bits = np.zeros(1 << (size - 6), np.uint64)
         for batch in batches:
             got = batch.column(0).to_numpy(zero_copy_only=False)
-            for p in _places(got):
+            for p in _places(got, size):
                 np.bitwise_or.at(bits, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], names=["at", "bits"])
@@ -110,7 +110,7 @@ def id_filter(ids: DataFrame):
     rows = (ids.select(F.col(name).cast("long")).where(F.col(name).isNotNull())
             .mapInArrow(marks, "at long, bits long")
             .groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow())
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits = np.zeros(1 << (size - 6), np.uint64)
     bits[rows.column("at").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return spark.sparkContext.broadcast(bits)
 
@@ -118,7 +118,7 @@ def id_filter(ids: DataFrame):
 def maybe_in(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Which ids the bitmap may hold (never False for one that it holds)."""
     found = np.ones(len(ids), bool)
-    for p in _places(ids):
+    for p in _places(ids, len(bits).bit_length() + 5):
         found &= ((bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1)).astype(bool)
     return found
 
