@@ -195,7 +195,11 @@ def taken_words(docs: DataFrame, **settings) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, seed: int = 3, **settings) -> DataFrame:
-    """The rows of ``docs`` as the mix takes them (repeats are repeated rows), shard by shard in mixed order."""
+    """The rows of ``docs`` as the mix takes them (repeats are repeated rows), shard by shard in mixed order.
+
+    Null and empty texts have no words and are never taken; a null source is a source, a null doc_id a row like
+    others; repeated rows are taken row by row; an empty table gives no rows.  All columns stay.
+    """
     m = mix(docs, seed=seed, **settings)
     places = m.drawn.groupBy("doc_id", "key").agg(F.collect_list(F.struct("shard", "position")).alias("_places"))
     names = docs.columns
