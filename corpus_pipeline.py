@@ -19,27 +19,47 @@ from tillroll.llm.queries import pseudonym_key, quality_model, tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts (score of 0.5 or more)."""
+    """Documents that the quality classifier accepts (score of 0.5 or more, so a tie stays).
+
+    Null and empty texts are scored by their one feature "empty"; repeated rows and null ids are scored row
+    by row; without labels every score is 0.5 and all stay.  Columns stay as they are.
+    """
     return scored(docs, quality_model(spark, sf_dir)).where("predicted = 1").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest doc_id (five words, 0.8 or more)."""
+    """One row of each group of near-duplicates: that of the smallest doc_id (five words, 0.8 or more).
+
+    Rows are compared and go one by one, also those that share a doc_id (of equal ones the one read first
+    stays) or have none; null, empty and blank texts all stay; an empty table stays empty.
+    """
     return deduplicated(docs, shingle=5, percent=80)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by pseudonyms of the same format; ``n_chars`` follows the new text."""
+    """Personal data replaced by pseudonyms of the same format; ``n_chars`` follows the new text.
+
+    Null texts stay null, with a null ``n_chars``; texts without personal data stay as they are, row by row.  The
+    key is the session's (``pseudonym_key``).
+    """
     return pseudonymised(docs, pseudonym_key(spark)).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as the source mix draws them; what it draws twice is there twice."""
+    """The documents as the source mix draws them; what it draws twice is there twice.
+
+    Null sources are a source; null and empty texts have no words and are not drawn; a repeated row is drawn for
+    itself; an empty table stays empty.
+    """
     return mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece's place in sequences of 4,096 tokens."""
+    """Every piece's place in sequences of 4,096 tokens.
+
+    Null and empty texts are one piece of the end token; repeated rows are packed once each; an empty table
+    gives no pieces.
+    """
     return pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 
