@@ -20,7 +20,7 @@ BINS = 256
 # pieces of one length that are numbered together
 RANK_ROWS = 512
 # text handled at once; a text's ids take about as many bytes as the text
-TOKEN_CHUNK = 8 << 20
+TOKEN_CHUNK = 4 << 20
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 1) -> DataFrame:

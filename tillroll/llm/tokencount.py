@@ -24,7 +24,7 @@ HEADER, HEADER_BITS, HEADER_BASE = 5, 13, 65_536 - (1 << 13)
 BLOCK_TOKENS = 1 << 20
 # documents of one written file: bounds the bytes that a reader of whole files holds
 FILE_DOCUMENTS = 4_096
-TOKEN_CHUNK = 8 << 20
+TOKEN_CHUNK = 4 << 20
 
 
 def write_flat(docs: DataFrame, path: str, tokenizer: str) -> None:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from tillroll.llm.words import words
 
 # distinct words that a worker keeps before it starts its cache anew
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 _CACHES: dict[str, "WordIds"] = {}
 # plain words: Latin letters, then ASCII marks; their two parts are what a pre-tokenizer of letter and mark runs yields
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|]*)")
