@@ -1,6 +1,7 @@
 """Small parts that need no Spark: tokens, packing plans, targets, Feistel, sketches of text, models."""
 
 import collections
+import math
 import random
 import zlib
 from fractions import Fraction
@@ -248,7 +249,7 @@ def test_mixed_radix_places_by_halves():
         want = 0
         for v, s in zip(values, sizes):
             want = want * s + v
-        assert x == want and total == __import__("math").prod(sizes) and pii._places(x, sizes) == values
+        assert x == want and total == math.prod(sizes) and pii._places(x, sizes) == values
 
 
 def test_pseudonyms_need_a_key():
