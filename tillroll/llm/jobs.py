@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,6 +44,12 @@ def drop_stage(spark: SparkSession, *frames: DataFrame) -> None:
                 path.getFileSystem(conf).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have shuffle files deleted that no frame needs any more: Spark's cleaner follows the driver's collections."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _is_star_forest(edges: DataFrame) -> bool:
     """Whether every node has one link at most to a smaller node, and no node has links both ways."""
     ends = edges.select(F.inline(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")),
