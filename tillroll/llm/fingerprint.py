@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.jobs import drop_stage, write_stage
+from tillroll.llm.jobs import release_shuffles, write_stage
 from tillroll.llm.minhash import numbered
 
 # cells per table of the stored fingerprint
@@ -172,7 +172,7 @@ def likeness(pairs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def neighbours(items: DataFrame) -> DataFrame:
-    """``(id, n_chars, for_id, for_need)`` of ``items (id, doc_id, text)``: the document that each one lends to.
+    """``(id, doc_id, n_chars, for_id, for_need)`` of ``items (id, doc_id, text)``: the document that each one lends to.
 
     Documents stand in descending doc_id (then row number), the last is followed by the first; the one before borrows the
     first third of its own length.  Ids are dealt by ranges, ordered within each range, and the ranges'
@@ -190,7 +190,7 @@ def neighbours(items: DataFrame) -> DataFrame:
         dealt.withColumn("before", F.lag(F.struct("doc_id", "id", "n_chars")).over(inside))
         .join(F.broadcast(ends), "range")  # one row per range partition
         .withColumn("before", F.coalesce("before", "above"))
-        .select("id", "n_chars", F.col("before.id").alias("for_id"),
+        .select("id", "doc_id", "n_chars", F.col("before.id").alias("for_id"),
                 F.floor(F.col("before.n_chars") / 3).cast("int").alias("for_need")), "order")
 
 
@@ -207,7 +207,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     rows, name, _ = numbered(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     items = rows.select(F.col(name).alias("id"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     order = neighbours(items)
-    placed = items.select("id", "doc_id", "text").join(order, "id")
+    # whole texts are dealt once: both uses below take the same two columns of them, so Spark reuses the exchange
+    placed = items.select("id", "text").join(order, "id")
     lent = placed.select(F.col("for_id").alias("id"), F.expr("substring(text, 1, for_need)").alias("borrowed"),
                          paragraph_digests(F.col("text")).alias("next"))
     edited = F.concat(F.expr("substring(text, 1, int(n_chars - floor(n_chars / 3)))"), F.col("borrowed"))
@@ -215,6 +216,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             .select("id", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
                     paragraph_digests(F.col("text")).alias("own"), paragraph_digests(F.col("edited")).alias("changed"), "next"))
     rows = write_stage(rows, "paragraphs")
+    release_shuffles(spark)
     pairs = rows.select("id", F.explode(F.array(F.struct(F.lit("edited").alias("pair"), F.col("changed").alias("b")),
                                                 F.struct(F.lit("next").alias("pair"), F.col("next").alias("b")))).alias("p"),
                         F.col("own").alias("a")).select("id", "p.pair", "a", "p.b")
