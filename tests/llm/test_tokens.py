@@ -43,3 +43,13 @@ def test_twice_as_many_words_as_the_cache_holds():
     assert got == whole([many, known])
     assert len(cache.known) <= tokens.CACHE_WORDS
     assert by_text(tokens.WordIds(TOKENIZER).encode(pa.array([many]))) == got[:1]  # with a cold one
+
+
+def test_a_full_cache_keeps_the_words_in_use(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 12)
+    cache = tokens.WordIds(TOKENIZER)
+    cache.encode(pa.array(["the of and " + " ".join(f"x{i}" for i in range(7))]))
+    text = "the of and " + " ".join(f"y{i}" for i in range(7))
+    assert by_text(cache.encode(pa.array([text]))) == whole([text])
+    assert len(cache.known) == 12
+    assert {"the", "of", "and", "y0", "y6"} <= set(cache.known)

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 
 from tillroll.llm.words import words
 
-# distinct words that a worker keeps before it starts its cache anew
+# distinct words that a worker keeps; with more, the latest ones stay
 CACHE_WORDS = 120_000
 _CACHES: dict[str, "WordIds"] = {}
 # plain words: Latin letters, then ASCII marks; their two parts are what a pre-tokenizer of letter and mark runs yields
@@ -36,6 +37,7 @@ class WordIds:
         self.shown = {c: shown.pre_tokenize_str(chr(c))[0][0] for c in [*range(33, 127), *range(0xC0, 0x100)]}
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.four = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
         # the short way holds for lower-casing byte-level tokenizers that part letters from marks
         self.short = all(self._plain(w) == x for w, x in zip(_PROBES, self._whole(_PROBES)))
 
@@ -52,8 +54,9 @@ class WordIds:
         for part in (m[1].lower(), m[2]):
             ids = self.parts.get(part)
             if ids is None:
-                ids = self.parts[part] = b"".join(
-                    t.id.to_bytes(4, "little") for t in self.model.tokenize(part.translate(self.shown)))
+                # ASCII stands for itself among the shown bytes
+                shown = part if part.isascii() else part.translate(self.shown)
+                ids = self.parts[part] = b"".join([self.four[t.id] for t in self.model.tokenize(shown)])
             out += ids
         return out
 
@@ -82,9 +85,11 @@ class WordIds:
             learnt = self._ids(fresh)
             for i, ids in zip(missing, learnt):
                 got[i] = ids
-            if len(self.known) + len(fresh) > CACHE_WORDS:  # no room: the cache begins anew
-                self.known = {}
-            self.known.update(zip(fresh[:CACHE_WORDS], learnt))
+            if len(self.known) + len(fresh) > CACHE_WORDS:  # no room: this call's words stay, then older ones
+                old, self.known = self.known, dict(zip(names[:CACHE_WORDS], got))
+                self.known.update(islice(old.items(), CACHE_WORDS - len(self.known)))
+            else:
+                self.known.update(zip(fresh, learnt))
         held = pa.array(got, pa.large_binary())
         row = held.take(pa.array(codes))
         ends = np.frombuffer(row.buffers()[1], np.int64, len(codes) + 1, 8 * row.offset) if len(codes) else np.zeros(1, np.int64)
