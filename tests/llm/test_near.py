@@ -199,3 +199,20 @@ def test_passages_equal_brute_force(spark):
         for _, s, n, _, _ in sorted((x for x in expected_passages(texts) if x[0] == d and not x[4]), reverse=True):
             want = want[:s] + want[s + n:]
         assert cleaned[d] == want
+
+
+def test_confirmed_links_leave_no_texts_staged(spark):
+    import glob
+
+    from tillroll.llm.jobs import ensure_checkpoint_dir
+    from tillroll.llm.near import confirmed_links
+
+    root = ensure_checkpoint_dir(spark).split(":", 1)[-1]
+    before = set(glob.glob(f"{root}/tillroll-members-*"))
+    text = " ".join(f"w{i}" for i in range(40))
+    items = spark.createDataFrame([(1, text), (2, text + " end")], "id long, text string")
+    links = spark.createDataFrame([(2, 1)], "a long, b long")
+    sizes = spark.createDataFrame([(1, 38), (2, 39)], "id long, n_shingles long")
+    found = confirmed_links(links, lambda bitmap: items, sizes, 3, 85)
+    assert [tuple(r) for r in found.collect()] == [(2, 1)]
+    assert set(glob.glob(f"{root}/tillroll-members-*")) == before
