@@ -17,6 +17,9 @@ from tillroll.llm.pii import pseudonymised
 from tillroll.llm.quality import scored
 from tillroll.llm.queries import pseudonym_key, quality_model, tokenizer_path
 
+# bytes of text that a worker packs at once
+PACKING_CHUNK = 1 << 20
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.5 or more, so a tie stays).
@@ -58,9 +61,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece's place in sequences of 4,096 tokens.
 
     Null and empty texts are one piece of the end token; repeated rows are packed once each; an empty table
-    gives no pieces.
+    gives no pieces.  Executors still hold what the earlier stages took, so less text is handled at once.
     """
-    return pack(docs, tokenizer_path("word_bpe_49k.json"))
+    return pack(docs, tokenizer_path("word_bpe_49k.json"), chunk=PACKING_CHUNK)
 
 
 STAGES = [("quality classifier", quality), ("MinHash near-dedup", near_duplicates), ("PII", pii),

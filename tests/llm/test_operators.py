@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tillroll.llm import fingerprint, lm, mixing, packing, pii, quality, tokencount, topk
 from tillroll.llm.queries import tokenizer_path
 
@@ -77,6 +78,14 @@ def test_packing_of_nothing(empty):
     assert packing.pack(empty, TOKENIZER).collect() == []
 
 
+def test_pieces_do_not_depend_on_the_text_handled_at_once(docs):
+    cut = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    want, got = (sorted(packing.pieces(docs, TOKENIZER, 64, chunk=n).select(*cut).collect(), key=str) for n in (4 << 20, 100))
+    assert got == want
+    # next to what the pipeline's earlier stages hold, packing takes less at once
+    assert corpus_pipeline.PACKING_CHUNK < packing.TOKEN_CHUNK
+
+
 # --- token counts ---------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("block", [1 << 20, 64, 5])

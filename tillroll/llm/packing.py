@@ -19,16 +19,16 @@ from tillroll.llm.words import chunks
 BINS = 256
 # pieces of one length that are numbered together
 RANK_ROWS = 512
-# text handled at once; a text's ids take about as many bytes as the text
+# text handled at once; its words, their codes and their ids take many times its bytes, smaller chunks more time
 TOKEN_CHUNK = 4 << 20
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 1) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 1, chunk: int = TOKEN_CHUNK) -> DataFrame:
     """``(doc_id, copy, piece, start, length, ids_crc32)``: token sequences cut at ``capacity``."""
     def run(batches):
         encode = word_ids(tokenizer).encode
         for batch in batches:
-            for part in chunks(batch, limit=TOKEN_CHUNK):
+            for part in chunks(batch, limit=chunk):
                 ids, bounds = encode(part.column(1))
                 doc, copy, piece, start, length, crc = [], [], [], [], [], []
                 end = np.array([end_id], "<u4").tobytes()
@@ -47,6 +47,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 1) -> D
                     [pa.array(doc, pa.int64()), pa.array(copy, pa.int64()), pa.array(piece, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "copy", "piece", "start", "length", "ids_crc32"])
+                del part, ids, bounds
+            del batch  # a batch's texts are not held while the next one is read
 
     # rows may repeat a doc_id; the copy number only keeps them apart and is fixed by the stored result
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
@@ -213,7 +215,7 @@ def _intervals(groups: Iterable[tuple[int, list[tuple[int, int]]]]) -> np.ndarra
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, chunk: int = TOKEN_CHUNK) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``, one row per piece.
 
     A document's tokens are its text's ids and then ``end_id``; longer documents are cut into pieces
@@ -224,9 +226,11 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1)
 
     Null and empty texts are one piece of the end token.  Repeated rows are packed once per row; a null
     doc_id stays null.  An empty table gives an empty result.  Other columns are ignored.
+
+    A worker handles about ``chunk`` bytes of text at once; smaller chunks take less memory and more time.
     """
     spark = docs.sparkSession
-    cut = write_stage(pieces(docs, tokenizer, capacity, end_id), "pieces")
+    cut = write_stage(pieces(docs, tokenizer, capacity, end_id, chunk), "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     intervals = _intervals(plan(histogram, capacity))
     table = spark.sparkContext.broadcast((intervals, intervals[:, 0] << 42 | intervals[:, 1]))
